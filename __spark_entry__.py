@@ -71,7 +71,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
     return _given(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -228,9 +228,12 @@ def agg_rfm_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _one_score(score: str, metric: str) -> Callable[[SparkSession, str], DataFrame]:
+    """One score, with bounds so low that the search for bucket ends has to narrow."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = _base(spark, sf_dir).select("customer_unique_id", metric)
-        return with_ntiles(base, 4, {score: rfm.score_orderings()[score]})
+        ordering = {score: rfm.score_orderings()[score]}
+        return with_ntiles(base, 4, ordering, sort_rows=100, sample_rows=100)
 
     return query
 

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Rows of one key that one task can join without trouble, the number of larger keys
+# treated on their own, and the size of the sketch that looks for them.
+HOT_ROWS = 1_000_000
+MAX_HOT = 1_000
+SKETCH_ITEMS = 50_000
+SKETCH_SLICES = 256
+
 
 def _no_shared_columns(left: DataFrame, right: DataFrame, key: str) -> None:
     shared = (set(left.columns) & set(right.columns)) - {key}
@@ -22,22 +31,39 @@ def left_lookup(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     return rows.join(lookup, key, "left")
 
 
-def left_fan_out(heads: DataFrame, details: DataFrame, key: str) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Any]:
+    """Keys that own at least `hot_rows` rows, the largest `MAX_HOT` of them at most.
+
+    Reads the key column once. Each task keeps a frequent-items sketch, so what is shuffled
+    does not grow with the rows, and sketches merge in two steps, so no task merges them
+    all. A key the sketch misses owns less than about one in ten thousand rows.
+    """
+    sketches = (
+        df.select(F.col(key).alias("key"))
+        .filter(F.col("key").isNotNull())
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES)))
+        .agg(F.expr(f"approx_top_k_accumulate(key, {SKETCH_ITEMS})").alias("sketch"))
+    )
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
+    found = merged.select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT})").alias("found")).first()
+    return [entry.item for entry in found.found or () if entry["count"] >= hot_rows]
+
+
+def left_fan_out(
+    heads: DataFrame, details: DataFrame, key: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Left join where one head may own very many details.
 
-    A left join cannot split a hot key on its right side, so one head with a third of all
-    details would be one task. An inner join can be split on both sides: the matched rows
-    come from one, and the heads without details are added through a semi-join reduction
-    whose right side is the distinct keys, combined before the shuffle.
+    Adaptive execution splits a hot key only on the left side of a left join, so one head
+    with a third of all details would be one task. Hot keys are looked for first (one job
+    over the key column of `details`). They all have details, so for them an inner join
+    does, which is split on both sides; the other keys keep the left join.
     """
     _no_shared_columns(heads, details, key)
-    columns = heads.columns + [c for c in details.columns if c != key]
-    keyed = heads.filter(F.col(key).isNotNull())
-    matched = keyed.join(details, key, "inner")
-    unmatched = keyed.join(details.select(key).distinct(), key, "left_anti")
-    without_key = heads.filter(F.col(key).isNull())
-    return (
-        matched.unionByName(unmatched, allowMissingColumns=True)
-        .unionByName(without_key, allowMissingColumns=True)
-        .select(key, *[c for c in columns if c != key])
-    )
+    hot = hot_keys(details, key, hot_rows)
+    if not hot:
+        return heads.join(details, key, "left")
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    split = heads.filter(is_hot).join(details.filter(is_hot), key, "inner")
+    plain = heads.filter(~is_hot).join(details.filter(~is_hot), key, "left")
+    return plain.unionByName(split)

@@ -8,7 +8,9 @@ in one projection, with no shuffle and no join, for any number of orderings at o
 The end rows are found by narrowing. A bracket of rows too large to sort is cut at rows
 picked from a sorted sample, the pieces are counted exactly in one aggregate over the
 table, and the pieces holding a wanted position go on. The sample only decides how fast
-the brackets shrink (about 80-fold per round); the counts decide the answer.
+the brackets shrink (about 50-fold per round); the counts decide the answer.
+
+A table counted to be small is left to the ordinary window.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import pairwise
-from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -29,36 +30,22 @@ from pyspark.sql.types import (
     FloatType,
     IntegralType,
     StringType,
+    StructType,
     TimestampNTZType,
 )
 
 from orestrata.sources.scratch import materialize
 
-# Bracket rows one task may sort, and rows sampled from a larger bracket.
-SORT_ROWS = 1_000_000
-SAMPLE_ROWS = 100_000
+# Rows one task may sort, and rows sampled from a larger bracket.
+SORT_ROWS = 250_000
+SAMPLE_ROWS = 50_000
 
 # Types whose values come back from Python unchanged, as an end row must.
-_KEY_TYPES = (
+_EXACT_TYPES = (
     BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegralType, StringType, TimestampNTZType,
 )
 
 
-class SortKey(NamedTuple):
-    """One column of an ordering; NULLs are placed explicitly."""
-
-    column: str
-    ascending: bool = True
-    nulls_first: bool = True
-
-    def order(self) -> Column:
-        name = ("asc" if self.ascending else "desc") + ("_nulls_first" if self.nulls_first else "_nulls_last")
-        return getattr(F.col(self.column), name)()
-
-
-Ordering = Sequence[SortKey]
-
-
 @dataclass(frozen=True)
 class Bracket:
     """Rows of one ordering after `low` and up to `high` (None: open), and the positions
@@ -71,6 +58,47 @@ class Bracket:
     wanted: tuple[int, ...]
 
 
+class Orderings:
+    """Named orderings of a table: ascending columns, NULLs first, the last one unique.
+
+    Struct values compare the same way, so a row of one ordering is one struct.
+    """
+
+    def __init__(self, df: DataFrame, columns: Mapping[str, Sequence[Column]]):
+        self.df = df
+        self.columns = columns
+        structs = [self.row(name).alias(name) for name in columns]
+        self.types: dict[str, StructType] = {f.name: f.dataType for f in df.select(*structs).schema}
+        for name, struct in self.types.items():
+            for field in struct:
+                if not isinstance(field.dataType, _EXACT_TYPES):
+                    raise TypeError(f"{name} cannot order by {field.dataType.simpleString()}")
+
+    def row(self, name: str) -> Column:
+        return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(self.columns[name])])
+
+    def after(self, name: str, mark: Row) -> Column:
+        """True for rows that come after `mark`."""
+        values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(mark, self.types[name], strict=True)]
+        return self.row(name) > F.struct(*values)
+
+    def inside(self, bracket: Bracket) -> Column:
+        low, high = bracket.low, bracket.high
+        after_low = F.lit(True) if low is None else self.after(bracket.name, low)
+        return after_low if high is None else after_low & ~self.after(bracket.name, high)
+
+    def ranked(self, bracket: Bracket, sample_rows: int | None = None, seed: int = 0) -> DataFrame:
+        """Rows of a bracket, or of a sample of it, with their `position` among them.
+
+        One task sorts them, so the bracket or the sample must be small.
+        """
+        rows = self.df.filter(self.inside(bracket)).select(self.row(bracket.name).alias("row"))
+        if sample_rows is not None:
+            rows = rows.sample(min(1.0, sample_rows / bracket.rows), seed)
+        fields = [F.col(f"row.{f.name}").asc_nulls_first() for f in self.types[bracket.name]]
+        return rows.withColumn("position", F.row_number().over(Window.orderBy(*fields)))
+
+
 def bucket_ends(rows: int, buckets: int) -> tuple[int, ...]:
     """Positions of the last row of each bucket but the last non-empty one.
 
@@ -81,95 +109,48 @@ def bucket_ends(rows: int, buckets: int) -> tuple[int, ...]:
     return tuple(sorted({end for end in ends if 0 < end < rows}))
 
 
-def sorts_after(df: DataFrame, ordering: Ordering, mark: Mapping[str, Any]) -> Column:
-    """True for rows that come after `mark` in the ordering."""
-    result = F.lit(False)
-    for key in reversed(ordering):
-        column, value = F.col(key.column), mark[key.column]
-        if value is None:
-            beyond = column.isNotNull() if key.nulls_first else F.lit(False)
-            equal = column.isNull()
-        else:
-            literal = F.lit(value).cast(df.schema[key.column].dataType)
-            beyond = column > literal if key.ascending else column < literal
-            beyond = F.coalesce(beyond, F.lit(not key.nulls_first))
-            equal = column.eqNullSafe(literal)
-        result = beyond | (equal & result)
-    return result
-
+def _collect_each(parts: Sequence[tuple[str, DataFrame]]) -> list[list[Row]]:
+    """The rows of each part in order of position, all fetched in one job. Few rows each."""
+    tagged = [
+        part.select(F.lit(i).alias("part"), "position", F.col("row").alias(f"row_{name}"))
+        for i, (name, part) in enumerate(parts)
+    ]
+    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged).collect()
+    return [
+        [row[f"row_{name}"] for row in sorted(found, key=lambda row: row.position) if row.part == i]
+        for i, (name, _) in enumerate(parts)
+    ]
 
-def _inside(df: DataFrame, ordering: Ordering, bracket: Bracket) -> Column:
-    after_low = F.lit(True) if bracket.low is None else sorts_after(df, ordering, bracket.low)
-    upto_high = F.lit(True) if bracket.high is None else ~sorts_after(df, ordering, bracket.high)
-    return after_low & upto_high
 
+def _pivots(orderings: Orderings, brackets: Sequence[Bracket], sample_rows: int, seed: int) -> list[list[Row]]:
+    """Sampled rows of each bracket on either side of its wanted positions.
 
-def _rows_at(
-    df: DataFrame,
-    orderings: Mapping[str, Ordering],
-    brackets: Sequence[Bracket],
-    positions: Mapping[int, Column],
-    sample_rows: int | None = None,
-    seed: int = 0,
-) -> dict[int, list[Row]]:
-    """Rows of each bracket (or of a sample of it) at the positions its column selects,
-    in order, for all brackets in one job.
-
-    The column may use `position` and `total`. One task sorts one bracket, so callers keep
-    brackets or samples small.
+    Each side is four standard deviations of a binomial count away, at most two roots of
+    the sample size.
     """
     parts = []
-    for index, bracket in enumerate(brackets):
-        ordering = orderings[bracket.name]
-        rows = df.filter(_inside(df, ordering, bracket))
-        if sample_rows is not None:
-            rows = rows.sample(min(1.0, sample_rows / bracket.rows), seed)
-        everything = Window.partitionBy()
-        parts.append(
-            rows.select(
-                F.struct(*[k.column for k in ordering]).alias(f"row_{bracket.name}"),
-                F.row_number().over(everything.orderBy(*[k.order() for k in ordering])).alias("position"),
-                F.count(F.lit(1)).over(everything).alias("total"),
-            )
-            .filter(positions[index])
-            .withColumn("bracket", F.lit(index))
-        )
-    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).collect()
-    result: dict[int, list[Row]] = {index: [] for index in range(len(brackets))}
-    for row in sorted(found, key=lambda row: row["position"]):
-        result[row["bracket"]].append(row[f"row_{brackets[row['bracket']].name}"])
-    return result
-
-
-def _pivot_positions(bracket: Bracket) -> Column:
-    """Sample positions around each wanted one: two standard deviations of the largest
-    binomial spread on either side, twice over."""
-    total, spread = F.col("total"), F.ceil(2 * F.sqrt("total"))
-    picks = []
-    for wanted in bracket.wanted:
-        centre = F.floor(total * F.lit(wanted / bracket.rows))
-        picks += [F.greatest(centre - spread, F.lit(1)), F.least(centre + spread, total)]
-    return reduce(lambda a, b: a | b, [F.col("position") == pick for pick in picks])
-
-
-def _narrow(
-    df: DataFrame,
-    orderings: Mapping[str, Ordering],
-    brackets: Sequence[Bracket],
-    sample_rows: int,
-    seed: int,
-) -> list[Bracket]:
+    for bracket in brackets:
+        size = min(sample_rows, bracket.rows)
+        spread = 2 * size**0.5
+        places = {
+            max(1, round(size * wanted / bracket.rows + side * spread))
+            for wanted in bracket.wanted
+            for side in (-1, 1)
+        }
+        ranked = orderings.ranked(bracket, sample_rows, seed)
+        parts.append((bracket.name, ranked.filter(F.col("position").isin(sorted(places)))))
+    return _collect_each(parts)
+
+
+def _narrow(orderings: Orderings, brackets: Sequence[Bracket], sample_rows: int, seed: int) -> list[Bracket]:
     """Cut each bracket at sampled rows and keep the pieces with a wanted position."""
-    positions = {i: _pivot_positions(b) for i, b in enumerate(brackets)}
-    pivots = _rows_at(df, orderings, brackets, positions, sample_rows, seed)
+    pivots = _pivots(orderings, brackets, sample_rows, seed)
     counts = [
-        F.count_if(
-            _inside(df, orderings[b.name], b) & ~sorts_after(df, orderings[b.name], pivot)
-        ).alias(f"upto_{i}_{j}")
+        F.count_if(orderings.inside(b) & ~orderings.after(b.name, pivot)).alias(f"upto_{i}_{j}")
         for i, b in enumerate(brackets)
         for j, pivot in enumerate(pivots[i])
     ]
-    upto = df.agg(F.lit(0).alias("none"), *counts).first()
+    upto = orderings.df.agg(F.count(F.lit(1)).alias("all"), *counts).first()
     pieces = []
     for i, bracket in enumerate(brackets):
         marks = [(bracket.low, 0)]
@@ -183,41 +164,39 @@ def _narrow(
 
 
 def bucket_end_rows(
-    df: DataFrame,
-    orderings: Mapping[str, Ordering],
+    orderings: Orderings,
     ends: Sequence[int],
     rows: int,
     *,
     sort_rows: int = SORT_ROWS,
     sample_rows: int = SAMPLE_ROWS,
 ) -> dict[str, list[Row]]:
-    """The rows at positions `ends` of each ordering of `df`, which has `rows` rows and
-    must give the same rows on every pass."""
+    """The rows at positions `ends` of each ordering of a table of `rows` rows, which must
+    give the same rows on every pass."""
+    result: dict[str, list[Row]] = {name: [] for name in orderings.columns}
     if not ends:
-        return {name: [] for name in orderings}
-    brackets = [Bracket(name, None, None, rows, tuple(ends)) for name in orderings]
+        return result
+    brackets = [Bracket(name, None, None, rows, tuple(ends)) for name in orderings.columns]
     seed = stalled = 0
     while wide := [b for b in brackets if b.rows > sort_rows]:
         seed += 1
-        pieces = _narrow(df, orderings, wide, sample_rows, seed)
+        pieces = _narrow(orderings, wide, sample_rows, seed)
         stalled = stalled + 1 if max(b.rows for b in pieces) >= max(b.rows for b in wide) else 0
         if stalled == 5:
-            raise ValueError("the orderings leave too many rows tied; end each with a unique key")
+            raise ValueError("too many rows tie; end each ordering with a unique column")
         brackets = [b for b in brackets if b.rows <= sort_rows] + pieces
 
-    # Also fetch the next row: if it ties with the end row, the ordering decides nothing.
-    positions = {
-        i: F.col("position").isin(sorted({p for w in b.wanted for p in (w, w + 1)}))
-        for i, b in enumerate(brackets)
-    }
-    found = _rows_at(df, orderings, brackets, positions)
-    result: dict[str, list[Row]] = {name: [] for name in orderings}
-    for i, bracket in enumerate(brackets):
-        fetched = sorted({p for w in bracket.wanted for p in (w, w + 1) if p <= bracket.rows})
-        at = dict(zip(fetched, found[i], strict=True))
+    # Fetch the row after each end too: if the two tie, the ordering leaves the end open.
+    places = [sorted({p for w in b.wanted for p in (w, w + 1) if p <= b.rows}) for b in brackets]
+    parts = [
+        (b.name, orderings.ranked(b).filter(F.col("position").isin(p)))
+        for b, p in zip(brackets, places, strict=True)
+    ]
+    for bracket, place, found in zip(brackets, places, _collect_each(parts), strict=True):
+        at = dict(zip(place, found, strict=True))
         for wanted in bracket.wanted:
             if at[wanted] == at.get(wanted + 1):
-                raise ValueError(f"ordering {bracket.name} ties at a bucket end; end it with a unique key")
+                raise ValueError(f"{bracket.name} ties at a bucket end; end it with a unique column")
             result[bracket.name].append(at[wanted])
     return result
 
@@ -225,7 +204,7 @@ def bucket_end_rows(
 def with_ntiles(
     df: DataFrame,
     buckets: int,
-    orderings: Mapping[str, Ordering],
+    orderings: Mapping[str, Sequence[Column]],
     *,
     stable: bool = False,
     sort_rows: int = SORT_ROWS,
@@ -233,20 +212,23 @@ def with_ntiles(
 ) -> DataFrame:
     """Add one integer column per ordering: its `ntile(buckets)` over the whole table.
 
-    Each ordering ends with a key that no two rows share, which makes the result unique.
+    An ordering lists columns to sort by, ascending with NULLs first; the last one must be
+    unique, which makes the result unique. For a descending number pass its negative.
+
     Runs jobs at once: the table is written first unless the caller vouches that `df` is a
     scan of a written table (`stable`).
     """
-    for ordering in orderings.values():
-        for key in ordering:
-            if not isinstance(df.schema[key.column].dataType, _KEY_TYPES):
-                raise TypeError(f"cannot order by {key.column}: {df.schema[key.column].dataType.simpleString()}")
     table = df if stable else materialize(df, "ntile")
+    keyed = Orderings(table, orderings)
     rows = table.count()
+    if rows <= sort_rows:
+        return table.withColumns({
+            name: F.ntile(buckets).over(Window.orderBy(*[c.asc_nulls_first() for c in columns]))
+            for name, columns in orderings.items()
+        })
     ends = bucket_end_rows(
-        table, orderings, bucket_ends(rows, buckets), rows, sort_rows=sort_rows, sample_rows=sample_rows
+        keyed, bucket_ends(rows, buckets), rows, sort_rows=sort_rows, sample_rows=sample_rows
     )
     return table.withColumns({
-        name: sum((sorts_after(table, ordering, end).cast("int") for end in ends[name]), F.lit(1))
-        for name, ordering in orderings.items()
+        name: sum((keyed.after(name, end).cast("int") for end in ends[name]), F.lit(1)) for name in orderings
     })

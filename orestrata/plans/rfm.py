@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.functions.dates import days_until
 from orestrata.functions.segments import score_string, segment
 from orestrata.operators.joins import left_lookup
-from orestrata.operators.ntile import SORT_ROWS, Ordering, SortKey, with_ntiles
+from orestrata.operators.ntile import SORT_ROWS, with_ntiles
 
 PERSON = "customer_unique_id"
 # What a sale is worth, as a SQL expression over its columns.
@@ -56,12 +56,16 @@ def rfm_base(
     return metrics.withColumn("recency", days_until(latest, F.col("last_purchase_date")))
 
 
-def score_orderings(person: str = PERSON) -> dict[str, Ordering]:
-    """What each score ranks by, worst first; the person breaks ties."""
+def score_orderings(person: str = PERSON) -> dict[str, list[Column]]:
+    """What each score ranks by, worst first; the person breaks ties.
+
+    The least recent come first, and a person without any date last.
+    """
+    recency = F.col("recency")
     return {
-        "r_score": (SortKey("recency", ascending=False, nulls_first=False), SortKey(person)),
-        "f_score": (SortKey("frequency"), SortKey(person)),
-        "m_score": (SortKey("monetary"), SortKey(person)),
+        "r_score": [recency.isNull(), -recency, F.col(person)],
+        "f_score": [F.col("frequency"), F.col(person)],
+        "m_score": [F.col("monetary"), F.col(person)],
     }
 
 

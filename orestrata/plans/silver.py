@@ -42,15 +42,14 @@ def clean_orders(orders: DataFrame, excluded: str = CANCELED) -> DataFrame:
 def denormalize(orders: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order and item, or one per order without items; all columns kept.
 
-    Items meet their products before they meet the orders. The rows are those of joining
-    the products last, but no wide row is shuffled by product, and the orders without
-    items, whose product is NULL, never meet in one task.
+    Products come last: a small product table is then broadcast instead of travelling with
+    the items, and rows without a product, or with a hot one, are on the side that adaptive
+    execution splits.
     """
-    heads = left_lookup(orders, customers, "customer_id")
-    details = left_lookup(items, products, "product_id")
+    sales = left_fan_out(left_lookup(orders, customers, "customer_id"), items, "order_id")
     keys = ["product_id", "order_id", "customer_id"]
     columns = [c for df in (orders, customers, items, products) for c in df.columns if c not in keys]
-    return left_fan_out(heads, details, "order_id").select(*keys, *columns)
+    return left_lookup(sales, products, "product_id").select(*keys, *columns)
 
 
 def build_silver(
