@@ -233,7 +233,7 @@ def _one_score(score: str, metric: str) -> Callable[[SparkSession, str], DataFra
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = _base(spark, sf_dir).select("customer_unique_id", metric)
         ordering = {score: rfm.score_orderings()[score]}
-        return with_ntiles(base, 4, ordering, sort_rows=100, sample_rows=100)
+        return with_ntiles(base, 4, ordering, sort_rows=400, sample_rows=400)
 
     return query
 

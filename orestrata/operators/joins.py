@@ -44,9 +44,12 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Any]:
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES)))
         .agg(F.expr(f"approx_top_k_accumulate(key, {SKETCH_ITEMS})").alias("sketch"))
     )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
-    found = merged.select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT})").alias("found")).first()
-    return [entry.item for entry in found.found or () if entry["count"] >= hot_rows]
+    # Grouped by a constant: without any row there is no sketch to merge.
+    merged = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
+    )
+    found = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT})")).alias("found"))
+    return [row[0] for row in found.filter(F.col("found.count") >= hot_rows).select("found.item").collect()]
 
 
 def left_fan_out(

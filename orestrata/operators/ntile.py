@@ -36,7 +36,7 @@ from pyspark.sql.types import (
 
 from orestrata.sources.scratch import materialize
 
-# Rows one task may sort, and rows sampled from a larger bracket.
+# Rows one task may sort, and rows sampled (and sorted) from a larger bracket.
 SORT_ROWS = 250_000
 SAMPLE_ROWS = 50_000
 
@@ -48,15 +48,23 @@ _EXACT_TYPES = (
 
 @dataclass(frozen=True)
 class Bracket:
-    """Rows of one ordering after `low` and up to `high` (None: open), and the positions
-    wanted among them, counted from 1."""
+    """Rows of one ordering after `low`, at position `start`, up to `high`, at `stop`.
+
+    None leaves a side open. Positions count from 1 in the whole table; `wanted` are those
+    of the bucket ends among the rows.
+    """
 
     name: str
     low: Row | None
     high: Row | None
-    rows: int
+    start: int
+    stop: int
     wanted: tuple[int, ...]
 
+    @property
+    def rows(self) -> int:
+        return self.stop - self.start
+
 
 class Orderings:
     """Named orderings of a table: ascending columns, NULLs first, the last one unique.
@@ -87,16 +95,19 @@ class Orderings:
         after_low = F.lit(True) if low is None else self.after(bracket.name, low)
         return after_low if high is None else after_low & ~self.after(bracket.name, high)
 
-    def ranked(self, bracket: Bracket, sample_rows: int | None = None, seed: int = 0) -> DataFrame:
-        """Rows of a bracket, or of a sample of it, with their `position` among them.
+    def ranked(self, brackets: Sequence[Bracket], shares: Sequence[float], seed: int) -> DataFrame:
+        """Rows of some brackets of one ordering, or a random share of them, with the
+        bracket's index as `part` and their `position` among the rows taken from it.
 
-        One task sorts them, so the bracket or the sample must be small.
+        One task sorts one bracket, so brackets or shares must be small.
         """
-        rows = self.df.filter(self.inside(bracket)).select(self.row(bracket.name).alias("row"))
-        if sample_rows is not None:
-            rows = rows.sample(min(1.0, sample_rows / bracket.rows), seed)
-        fields = [F.col(f"row.{f.name}").asc_nulls_first() for f in self.types[bracket.name]]
-        return rows.withColumn("position", F.row_number().over(Window.orderBy(*fields)))
+        (name,) = {b.name for b in brackets}
+        part = F.coalesce(*[F.when(self.inside(b), i) for i, b in enumerate(brackets)])
+        rows = self.df.select(part.alias("part"), self.row(name).alias("row")).filter("part IS NOT NULL")
+        if min(shares) < 1:
+            rows = rows.filter(F.rand(seed) < F.array(*map(F.lit, shares))[F.col("part")])
+        fields = [F.col(f"row.{f.name}").asc_nulls_first() for f in self.types[name]]
+        return rows.withColumn("position", F.row_number().over(Window.partitionBy("part").orderBy(*fields)))
 
 
 def bucket_ends(rows: int, buckets: int) -> tuple[int, ...]:
@@ -109,57 +120,70 @@ def bucket_ends(rows: int, buckets: int) -> tuple[int, ...]:
     return tuple(sorted({end for end in ends if 0 < end < rows}))
 
 
-def _collect_each(parts: Sequence[tuple[str, DataFrame]]) -> list[list[Row]]:
-    """The rows of each part in order of position, all fetched in one job. Few rows each."""
-    tagged = [
-        part.select(F.lit(i).alias("part"), "position", F.col("row").alias(f"row_{name}"))
-        for i, (name, part) in enumerate(parts)
-    ]
-    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged).collect()
-    return [
-        [row[f"row_{name}"] for row in sorted(found, key=lambda row: row.position) if row.part == i]
-        for i, (name, _) in enumerate(parts)
-    ]
+def _rows_at(
+    orderings: Orderings,
+    brackets: Sequence[Bracket],
+    places: Sequence[Sequence[int]],
+    shares: Sequence[float],
+    seed: int = 0,
+) -> list[list[Row]]:
+    """The rows at the given places of each bracket, or of a random share of it, in order.
+
+    One job, with one scan per ordering; only these few rows reach the driver.
+    """
+    indexes: dict[str, list[int]] = {}
+    for i, bracket in enumerate(brackets):
+        indexes.setdefault(bracket.name, []).append(i)
+    parts = []
+    for name, members in indexes.items():
+        ranked = orderings.ranked([brackets[i] for i in members], [shares[i] for i in members], seed)
+        chosen = F.array(*[F.array(*map(F.lit, places[i])) for i in members])[F.col("part")]
+        parts.append(
+            ranked.filter(F.array_contains(chosen, F.col("position"))).select(
+                F.array(*map(F.lit, members))[F.col("part")].alias("bracket"),
+                "position",
+                F.col("row").alias(f"row_{name}"),
+            )
+        )
+    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).collect()
+    result: list[list[Row]] = [[] for _ in brackets]
+    for row in sorted(found, key=lambda row: row.position):
+        result[row.bracket].append(row[f"row_{brackets[row.bracket].name}"])
+    return result
 
 
 def _pivots(orderings: Orderings, brackets: Sequence[Bracket], sample_rows: int, seed: int) -> list[list[Row]]:
     """Sampled rows of each bracket on either side of its wanted positions.
 
-    Each side is four standard deviations of a binomial count away, at most two roots of
-    the sample size.
+    The rows of a sample up to a given one are a binomial count; each side is four of its
+    standard deviations away.
     """
-    parts = []
+    places = []
     for bracket in brackets:
-        size = min(sample_rows, bracket.rows)
-        spread = 2 * size**0.5
-        places = {
-            max(1, round(size * wanted / bracket.rows + side * spread))
-            for wanted in bracket.wanted
-            for side in (-1, 1)
-        }
-        ranked = orderings.ranked(bracket, sample_rows, seed)
-        parts.append((bracket.name, ranked.filter(F.col("position").isin(sorted(places)))))
-    return _collect_each(parts)
+        expected = [sample_rows * (w - bracket.start) / bracket.rows for w in bracket.wanted]
+        places.append(sorted({max(1, round(e + side * 4 * e**0.5)) for e in expected for side in (-1, 1)}))
+    shares = [sample_rows / bracket.rows for bracket in brackets]
+    return _rows_at(orderings, brackets, places, shares, seed)
 
 
 def _narrow(orderings: Orderings, brackets: Sequence[Bracket], sample_rows: int, seed: int) -> list[Bracket]:
     """Cut each bracket at sampled rows and keep the pieces with a wanted position."""
     pivots = _pivots(orderings, brackets, sample_rows, seed)
-    counts = [
-        F.count_if(orderings.inside(b) & ~orderings.after(b.name, pivot)).alias(f"upto_{i}_{j}")
+    positions = [
+        F.count_if(~orderings.after(b.name, pivot)).alias(f"position_{i}_{j}")
         for i, b in enumerate(brackets)
         for j, pivot in enumerate(pivots[i])
     ]
-    upto = orderings.df.agg(F.count(F.lit(1)).alias("all"), *counts).first()
+    counted = orderings.df.agg(F.count(F.lit(1)).alias("rows"), *positions).first()
     pieces = []
     for i, bracket in enumerate(brackets):
-        marks = [(bracket.low, 0)]
-        marks += [(pivot, upto[f"upto_{i}_{j}"]) for j, pivot in enumerate(pivots[i])]
-        marks += [(bracket.high, bracket.rows)]
-        for (low, before), (high, through) in pairwise(marks):
-            wanted = tuple(w - before for w in bracket.wanted if before < w <= through)
+        marks = [(bracket.low, bracket.start)]
+        marks += [(pivot, counted[f"position_{i}_{j}"]) for j, pivot in enumerate(pivots[i])]
+        marks += [(bracket.high, bracket.stop)]
+        for (low, start), (high, stop) in pairwise(marks):
+            wanted = tuple(w for w in bracket.wanted if start < w <= stop)
             if wanted:
-                pieces.append(Bracket(bracket.name, low, high, through - before, wanted))
+                pieces.append(Bracket(bracket.name, low, high, start, stop, wanted))
     return pieces
 
 
@@ -176,7 +200,8 @@ def bucket_end_rows(
     result: dict[str, list[Row]] = {name: [] for name in orderings.columns}
     if not ends:
         return result
-    brackets = [Bracket(name, None, None, rows, tuple(ends)) for name in orderings.columns]
+    brackets = [Bracket(name, None, None, 0, rows, tuple(ends)) for name in orderings.columns]
+    sort_rows = max(sort_rows, sample_rows)
     seed = stalled = 0
     while wide := [b for b in brackets if b.rows > sort_rows]:
         seed += 1
@@ -187,17 +212,15 @@ def bucket_end_rows(
         brackets = [b for b in brackets if b.rows <= sort_rows] + pieces
 
     # Fetch the row after each end too: if the two tie, the ordering leaves the end open.
-    places = [sorted({p for w in b.wanted for p in (w, w + 1) if p <= b.rows}) for b in brackets]
-    parts = [
-        (b.name, orderings.ranked(b).filter(F.col("position").isin(p)))
-        for b, p in zip(brackets, places, strict=True)
-    ]
-    for bracket, place, found in zip(brackets, places, _collect_each(parts), strict=True):
+    places = [sorted({p - b.start for w in b.wanted for p in (w, w + 1) if p <= b.stop}) for b in brackets]
+    fetched = _rows_at(orderings, brackets, places, [1.0] * len(brackets))
+    for bracket, place, found in zip(brackets, places, fetched, strict=True):
         at = dict(zip(place, found, strict=True))
         for wanted in bracket.wanted:
-            if at[wanted] == at.get(wanted + 1):
+            end = at[wanted - bracket.start]
+            if end == at.get(wanted - bracket.start + 1):
                 raise ValueError(f"{bracket.name} ties at a bucket end; end it with a unique column")
-            result[bracket.name].append(at[wanted])
+            result[bracket.name].append(end)
     return result
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orestrata.functions.dates import days_until
 from orestrata.functions.segments import score_string, segment
 from orestrata.operators.joins import left_lookup
-from orestrata.operators.ntile import SORT_ROWS, with_ntiles
+from orestrata.operators.ntile import with_ntiles
 
 PERSON = "customer_unique_id"
 # What a sale is worth, as a SQL expression over its columns.
@@ -69,11 +69,12 @@ def score_orderings(person: str = PERSON) -> dict[str, list[Column]]:
     }
 
 
-def rfm_scores(
-    base: DataFrame, buckets: int = 4, person: str = PERSON, sort_rows: int = SORT_ROWS
-) -> DataFrame:
-    """`base` with the three scores and their string. Writes `base` to the shared folder."""
-    scored = with_ntiles(base, buckets, score_orderings(person), sort_rows=sort_rows)
+def rfm_scores(base: DataFrame, buckets: int = 4, person: str = PERSON, **bounds: int) -> DataFrame:
+    """`base` with the three scores and their string. Writes `base` to the shared folder.
+
+    `bounds` are those of `with_ntiles`.
+    """
+    scored = with_ntiles(base, buckets, score_orderings(person), **bounds)
     return scored.withColumn("rfm_score_string", score_string())
 
 
@@ -81,8 +82,8 @@ def rfm_segments(
     sales: DataFrame,
     amount: str = AMOUNT,
     person: str = PERSON,
-    sort_rows: int = SORT_ROWS,
+    **bounds: int,
 ) -> DataFrame:
     """The gold table: metrics, scores and segment of every person."""
-    scores = rfm_scores(rfm_base(sales, amount, person), person=person, sort_rows=sort_rows)
+    scores = rfm_scores(rfm_base(sales, amount, person), person=person, **bounds)
     return scores.withColumn("rfm_segment", segment())
