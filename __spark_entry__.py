@@ -259,6 +259,25 @@ def segment_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.segment_distribution(rfm_segments(spark, sf_dir))
 
 
+def sql_segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over the registered segment table, by ordinals."""
+    path, name = scratch_path(spark, "segments"), f"default.segments_{uuid4().hex}"
+    tables.write_table(rfm_segments(spark, sf_dir), path, ["rfm_segment"])
+    tables.register_table(spark, name, path)
+    return spark.sql(f"""
+        SELECT rfm_segment, count(*) AS customer_count, max(recency) AS max_recency
+        FROM {name} GROUP BY 1 ORDER BY 2 DESC, 1""")
+
+
+def sql_order_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over a registered table: status filter, projection, limit."""
+    name = f"default.orders_{uuid4().hex}"
+    tables.register_table(spark, name, f"{sf_dir}/orders.parquet")
+    return spark.sql(f"""
+        SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_purchase_timestamp
+        FROM {name} WHERE o_orderstatus = '{PLACED}' ORDER BY order_id LIMIT 5""")
+
+
 def top_segment_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_customers(rfm_segments(spark, sf_dir))
 
@@ -355,6 +374,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rfm_segments": rfm_segments,
         "rfm_partitioned_roundtrip": rfm_partitioned_roundtrip,
         "segment_distribution": segment_distribution,
+        "sql_segment_report": sql_segment_report,
+        "sql_order_sample": sql_order_sample,
         "top_segment_customers": top_segment_customers,
         "silver_quality": silver_quality,
         "layered_run": layered_run,
@@ -522,6 +543,12 @@ def oracle_sql() -> dict[str, str]:
         "rfm_segments": f"WITH {_segments_sql()} SELECT * FROM segments",
         "rfm_partitioned_roundtrip": f"WITH {_segments_sql()} SELECT * FROM segments",
         "segment_distribution": _distribution_sql(),
+        "sql_segment_report": f"""WITH {_segments_sql()}
+            SELECT rfm_segment, count(*) AS customer_count, max(recency) AS max_recency
+            FROM segments GROUP BY rfm_segment ORDER BY customer_count DESC, rfm_segment""",
+        "sql_order_sample": """
+            SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_purchase_timestamp
+            FROM orders WHERE o_orderstatus = 'O' ORDER BY order_id LIMIT 5""",
         "top_segment_customers": f"""WITH {_segments_sql()}
             SELECT customer_unique_id, frequency, monetary, recency, rfm_segment
             FROM segments WHERE rfm_segment = 'Champions/VIP'

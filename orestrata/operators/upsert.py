@@ -27,7 +27,6 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFram
     Keys compare null-safe. A key repeated in `base` loses all its rows to the update; a
     key repeated in `updates` is an error.
     """
-    fresh = _one_row_per_key(updates, keys)
-    replaced = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    replaced = updates.select(*[F.col(k).alias(f"__{k}") for k in keys])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-    return base.join(replaced, same, "left_anti").unionByName(fresh)
+    return base.join(replaced, same, "left_anti").unionByName(_one_row_per_key(updates, keys))

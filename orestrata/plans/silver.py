@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.functions.dates import as_timestamps
+from orestrata.operators.dedup import drop_copies, drop_null_keys
 from orestrata.operators.joins import left_fan_out, left_lookup
 
 # The excluded status and the order columns that hold times.
@@ -58,6 +61,16 @@ def build_silver(
     items: DataFrame,
     products: DataFrame,
     excluded: str = CANCELED,
+    *,
+    drop_duplicates: bool = False,
+    required: Sequence[str] = (),
 ) -> DataFrame:
-    """The silver sales table from the four bronze tables."""
-    return denormalize(clean_orders(orders, excluded), customers, items, products)
+    """The silver sales table from the four bronze tables.
+
+    Off by default: keeping one of identical rows in each input, and dropping sales without
+    a value in the `required` columns.
+    """
+    if drop_duplicates:
+        orders, customers, items, products = map(drop_copies, (orders, customers, items, products))
+    sales = denormalize(clean_orders(orders, excluded), customers, items, products)
+    return drop_null_keys(sales, required) if required else sales

@@ -6,7 +6,7 @@ running it again gives the same result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,7 +63,15 @@ def check(spark: SparkSession, database: str = "default") -> DataFrame:
     return reports.table_check(spark, sorted(f"{database}.{row.tableName}" for row in listed))
 
 
-def silver(spark: SparkSession, base: str, database: str = "default", excluded: str = CANCELED) -> int:
+def silver(
+    spark: SparkSession,
+    base: str,
+    database: str = "default",
+    excluded: str = CANCELED,
+    *,
+    drop_duplicates: bool = False,
+    required: Sequence[str] = (),
+) -> int:
     """Write and register the silver sales table; returns its rows."""
     orders, customers, items, products = (
         tables.table_or_register(
@@ -72,7 +80,10 @@ def silver(spark: SparkSession, base: str, database: str = "default", excluded:
         for name in ("orders", "customers", "order_items", "products")
     )
     path = layer_path(base, "silver", SILVER_SALES)
-    tables.write_table(build_silver(orders, customers, items, products, excluded), path)
+    sales = build_silver(
+        orders, customers, items, products, excluded, drop_duplicates=drop_duplicates, required=required
+    )
+    tables.write_table(sales, path)
     tables.register_table(spark, f"{database}.{SILVER_TABLE}", path, replace=True)
     return tables.row_count(spark, path)
 

@@ -105,3 +105,14 @@ def test_samples(spark, rows):
     assert rows(reports.sample_orders(orders, n=2), "order_id") == [("o1",), ("o2",)]
     sample = reports.sample_sales(silver.build_silver(orders, customers, items, products), 3)
     assert sample.count() == 3 and sample.columns == list(reports.SILVER_COLUMNS)
+
+
+def test_opt_in_cleaning(spark, rows):
+    orders, customers, items, products = _star(spark)
+    twice = [df.unionAll(df) for df in (orders, customers, items, products)]
+    picked = ("order_id", "product_id", "price")
+    once = rows(silver.build_silver(orders, customers, items, products), *picked)
+    assert rows(silver.build_silver(*twice, drop_duplicates=True), *picked) == once
+    assert silver.build_silver(*twice).count() > len(once)
+    kept = silver.build_silver(orders, customers, items, products, required=["product_id"])
+    assert rows(kept, *picked) == [r for r in once if r[1] is not None]
