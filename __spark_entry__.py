@@ -36,8 +36,19 @@ SMOKE = "/root/testdata/sf0.001"
 # --- the tables in their roles -------------------------------------------------------
 
 
+GIVEN = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def _given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return tables.read_table(spark, f"{sf_dir}/{table}.parquet")
+    return tables.read_table(spark, f"{sf_dir}/{table}.parquet", GIVEN[table])
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,11 +102,18 @@ def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.order_sales(_kept(spark, sf_dir), _customers(spark, sf_dir), _items(spark, sf_dir))
+    """One row per kept order. Prices and taxes have two decimals, so an item's worth,
+    price x (1 + tax), is a whole number of ten-thousandths."""
+    worth = F.rint(F.col("l_extendedprice") * 100).cast("bigint") * (F.rint(F.col("l_tax") * 100).cast("bigint") + 100)
+    items = _given(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"), worth.alias("worth"))
+    return rfm.order_sales(_kept(spark, sf_dir), _customers(spark, sf_dir), items, "worth")
+
+
+UNITS = 10_000
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.rfm_base(_sales(spark, sf_dir), "amount")
+    return rfm.rfm_base(_sales(spark, sf_dir), "amount", units=UNITS)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +263,7 @@ def rfm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.rfm_segments(_sales(spark, sf_dir), "amount")
+    return rfm.rfm_segments(_sales(spark, sf_dir), "amount", units=UNITS)
 
 
 def rfm_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,14 +348,11 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(orders, changed.unionByName(added), ["o_orderkey"])
 
 
-CATALOG_TABLES = ("orders", "customer", "lineitem", "part")
-
-
 def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given tables registered in a new database, listed there, described and counted."""
     database = f"given_{uuid4().hex}"
     tables.create_database(spark, database, scratch_path(spark, "catalog"))
-    tables.register_all(spark, {t: f"{sf_dir}/{t}.parquet" for t in CATALOG_TABLES}, database)
+    tables.register_all(spark, {t: f"{sf_dir}/{t}.parquet" for t in GIVEN}, database)
     listed = tables.tables(spark, database, "*").collect()
     return reports.table_check(spark, [f"{database}.{row.tableName}" for row in listed])
 

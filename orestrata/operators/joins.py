@@ -34,10 +34,13 @@ def left_lookup(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Any]:
     """Keys that own at least `hot_rows` rows, the largest `MAX_HOT` of them at most.
 
-    Reads the key column once. Each task keeps a frequent-items sketch, so what is shuffled
+    A table of fewer rows, which file footers tell, has none. Otherwise the key column is
+    read once. Each task keeps a frequent-items sketch, so what is shuffled
     does not grow with the rows, and sketches merge in two steps, so no task merges them
     all. A key the sketch misses owns less than about one in ten thousand rows.
     """
+    if df.count() < hot_rows:
+        return []
     sketches = (
         df.select(F.col(key).alias("key"))
         .filter(F.col("key").isNotNull())

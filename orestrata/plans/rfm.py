@@ -42,15 +42,18 @@ def rfm_base(
     person: str = PERSON,
     order: str = "order_id",
     purchased: str = "order_purchase_timestamp",
+    units: int = 1,
 ) -> DataFrame:
     """Metrics per person; sales without a known person form one NULL person.
 
-    The reference date is a scalar subquery, so nothing passes through the driver.
+    `amount` is best a decimal, or a whole number of which `units` make one of currency:
+    both sum exactly, whole numbers at a third of the time. The reference date is a scalar
+    subquery, so nothing passes through the driver.
     """
     metrics = sales.groupBy(person).agg(
         F.max(purchased).alias("last_purchase_date"),
         F.count_distinct(order).alias("frequency"),
-        F.sum(F.expr(amount)).cast("double").alias("monetary"),
+        (F.sum(F.expr(amount)).cast("double") / units).alias("monetary"),
     )
     latest = reference_date(sales, purchased).scalar()
     return metrics.withColumn("recency", days_until(latest, F.col("last_purchase_date")))
@@ -82,8 +85,9 @@ def rfm_segments(
     sales: DataFrame,
     amount: str = AMOUNT,
     person: str = PERSON,
+    units: int = 1,
     **bounds: int,
 ) -> DataFrame:
     """The gold table: metrics, scores and segment of every person."""
-    scores = rfm_scores(rfm_base(sales, amount, person), person=person, **bounds)
+    scores = rfm_scores(rfm_base(sales, amount, person, units=units), person=person, **bounds)
     return scores.withColumn("rfm_segment", segment())

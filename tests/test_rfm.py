@@ -44,6 +44,14 @@ def test_metrics(spark):
     }
 
 
+def test_whole_numbers_of_minor_units_give_the_same_metrics(spark):
+    sales = _sales(
+        spark, ("a", "1", _day(1), "0.10", "0.20"), ("a", "2", _day(2), "1.07", None), ("b", "3", _day(3), "9.99", "0.01")
+    )
+    cents = sales.withColumn("cents", F.expr("cast((price + freight_value) * 100 as bigint)"))
+    assert _metrics(rfm.rfm_base(cents, "cents", units=100)) == _metrics(rfm.rfm_base(sales))
+
+
 def test_recency_counts_dates_not_hours(spark):
     sales = _sales(
         spark, ("a", "1", _day(3, 23, 59), "1", "1"), ("b", "2", _day(4, 0, 1), "1", "1"), ("c", "3", None, "1", "1")
