@@ -13,6 +13,11 @@ def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the table at `path`, schema included.
 
@@ -37,7 +42,7 @@ def row_count(spark: SparkSession, path: str) -> int:
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}{where}")
 
 
@@ -51,7 +56,7 @@ def register_table(spark: SparkSession, name: str, path: str, *, replace: bool =
         if spark.catalog.getTable(name).tableType != "EXTERNAL":
             raise ValueError(f"{name} owns its files; drop it yourself")
         spark.sql(f"DROP TABLE {_quoted(name)}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} USING PARQUET LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} USING PARQUET LOCATION {_text(path)}")
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         # The catalog knows no partition of a table registered by path, and keeps stale
         # ones after an overwrite.
@@ -78,8 +83,10 @@ def register_all(
 
 
 def table_or_register(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """The catalog table, registered from its path first if it is not known."""
-    if not spark.catalog.tableExists(name):
+    """The catalog table with its present files, registered from its path if not known."""
+    if spark.catalog.tableExists(name):
+        spark.catalog.refreshTable(name)
+    else:
         register_table(spark, name, path)
     return spark.table(name)
 
@@ -90,7 +97,7 @@ def databases(spark: SparkSession) -> DataFrame:
 
 def tables(spark: SparkSession, database: str = "default", pattern: str | None = None) -> DataFrame:
     """Tables of a database, optionally those matching a glob such as `gold*`."""
-    like = f" LIKE '{pattern}'" if pattern else ""
+    like = f" LIKE {_text(pattern)}" if pattern else ""
     return spark.sql(f"SHOW TABLES IN {_quoted(database)}{like}").filter(~F.col("isTemporary"))
 
 

@@ -60,15 +60,28 @@ def test_hot_key_gives_the_rows_of_a_left_join(spark):
     assert got.count() == 91_000
 
 
+# Sizes of a cluster scaled down to the test: nothing small enough to broadcast, and 20 KB
+# enough to call a partition skewed.
+SCALED_DOWN = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_hot_lookup_key_is_split_over_tasks(spark, conf):
+    conf(SCALED_DOWN)
+    lookup, facts = _skewed(spark, 90_000)
+    joined = left_lookup(facts, lookup, "k")
+    assert len(joined.collect()) == 90_000
+    assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_key_is_split_over_tasks(spark, conf):
-    conf({
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    })
+    conf(SCALED_DOWN)
     heads, details = _skewed(spark, 90_000)
     joined = left_fan_out(heads, details, "k", 10_000)
     joined.collect()

@@ -104,6 +104,32 @@ def test_partitioned_write_gathers_each_value(spark, tmp_path):
     assert len(list(path.glob("label=a/*.parquet"))) == 1
 
 
+def test_partitioned_write_splits_a_large_value(spark, tmp_path, conf):
+    conf({"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"})
+    path = tmp_path / "t"
+    wide = _labelled(spark, 30_000, "a", "a", "b").withColumn("text", F.sha2(F.col("id").cast("string"), 256))
+    tables.write_table(wide.repartition(8), str(path), ["label"])
+    assert len(list(path.glob("label=a/*.parquet"))) > 2
+    assert tables.row_count(spark, str(path)) == 30_000
+
+
+def test_quotes_in_a_path(spark, tmp_path):
+    path, name = str(tmp_path / "it's"), "default.test_quotes"
+    tables.write_table(spark.range(2), path)
+    tables.register_table(spark, name, path, replace=True)
+    assert spark.table(name).count() == 2
+
+
+def test_files_replaced_in_the_same_session_are_seen(spark, tmp_path):
+    path, name = str(tmp_path / "t"), "default.test_refresh"
+    tables.write_table(spark.range(2), path)
+    tables.register_table(spark, name, path, replace=True)
+    assert spark.table(name).count() == 2
+    tables.write_table(spark.range(5), path)
+    ids = tables.table_or_register(spark, name, path).collect()
+    assert sorted(r.id for r in ids) == [0, 1, 2, 3, 4]
+
+
 def test_registration_keeps_or_replaces(spark, tmp_path):
     name = "default.test_replace"
     tables.write_table(spark.range(1), str(tmp_path / "a"))
