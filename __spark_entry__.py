@@ -28,6 +28,15 @@ from orestrata.sources import files, tables
 from orestrata.sources.registry import only
 from orestrata.sources.scratch import scratch_path
 
+# The training-data operators are a subpackage that the rest works without.
+try:
+    import corpus_pipeline
+    from orestrata.llm import queries as llm
+except ModuleNotFoundError as error:
+    if (error.name or "").split(".")[-1] not in ("corpus_pipeline", "llm", "queries"):
+        raise
+    llm = None
+
 EXCLUDED = "F"
 PLACED = "O"
 SMOKE = "/root/testdata/sf0.001"
@@ -364,6 +373,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query: (spark, folder of the tables) -> DataFrame."""
+    added = {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
     return {
         "scan_columnar": scan_columnar,
         "scan_csv": scan_csv,
@@ -399,6 +409,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "drop_null_keys": drop_null_keys,
         "upsert_orders": upsert_orders,
         "catalog_listing": catalog_listing,
+        **added,
     }
 
 
@@ -507,8 +518,9 @@ _ITEM_COLUMNS = """CAST(i.product_id AS VARCHAR) AS product_id,
 
 
 def oracle_sql() -> dict[str, str]:
-    """The SQL for each query, over the same tables."""
+    """The SQL for each query that SQL can express, over the same tables."""
     return {
+        **(llm.oracle_sql() if llm else {}),
         "scan_columnar": f"WITH {_ORDERS} SELECT * FROM orders_role",
         "scan_csv": "SELECT * FROM orders",
         "scan_csv_inferred": "SELECT * FROM orders",
