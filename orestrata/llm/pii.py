@@ -41,13 +41,25 @@ BASE = {
 _AT = r"(?:\s?(?:@|\(at\)|\[at\])\s?|\s+at\s+)"
 _DOT = r"(?:\.|\s?(?:\(dot\)|\[dot\])\s?|\s+dot\s+)"
 GENERATORS = {
-    "email": rf"(?i)[\p{{L}}0-9._%+-]{{1,64}}+{_AT}[\p{{L}}0-9-]{{1,63}}(?:{_DOT}[\p{{L}}0-9-]{{1,63}}){{1,6}}",
+    "email": rf"(?i)(?<![\p{{L}}0-9._%+-])[\p{{L}}0-9._%+-]{{1,64}}+{_AT}[\p{{L}}0-9-]{{1,63}}(?:{_DOT}[\p{{L}}0-9-]{{1,63}}){{1,6}}",
     "ip": r"(?<![0-9A-Fa-f:.])(?:(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}|[0-9]{1,3}(?:\x20?\.\x20?[0-9]{1,3}){3})(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])[0-9](?:[\x20./-]{0,2}[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9+])(?:\+|00)?\(?[0-9](?:[\x20()./-]{0,3}[0-9]){6,14}(?![0-9])",
 }
-# A text without a match of this has none of the patterns above.
-HINTS = {"email": r"(?i)@|\(at\)|\[at\]|\sat\s", "ip": r"[0-9]|::", "card": "[0-9]", "phone": "[0-9]"}
+# What a text must hold to match a pattern: quick to look for, and rare. The digits of all
+# but emails are looked for first.
+BASE_HINTS = {
+    "email": "@",
+    "ip": r"[0-9]\.[0-9]",
+    "card": r"[0-9](?:[\x20-]?[0-9]){13}",
+    "phone": r"\+[0-9]",
+}
+GENERATOR_HINTS = {
+    "email": r"(?i)@|[(\[]at[)\]]|\sat\s+[\p{L}0-9-]+(?:\.[\p{L}0-9]|\s?[(\[]?dot)",
+    "ip": r"[0-9]\x20?\.\x20?[0-9]|:[0-9A-Fa-f]{0,4}:",
+    "card": r"[0-9](?:[\x20./-]{0,2}[0-9]){12}",
+    "phone": r"[0-9](?:[\x20()./-]{0,3}[0-9]){6}",
+}
 CONTEXT = 32
 CLUES = {
     "email": r"(?i)e-?mail|contact|write|schreib|courriel|correo",
@@ -77,10 +89,10 @@ class Detector:
     thresholds: dict[str, float]
 
 
-def matches(text: Column, kind: str, pattern: str) -> Column:
-    """Leftmost matches, not overlapping, as an array of structs: kind, start, end, value, and
-    the text `before` and `after` within reach."""
-    pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def spans(kind: str, values: Column, pieces: Column) -> Column:
+    """Spans from the matches of a pattern and the pieces of text around them, both null if
+    there are none: structs of kind, start, end, value, and the text `before` and `after`
+    within reach."""
     zipped = F.arrays_zip(values.alias("value"), pieces.alias("piece"), F.slice(pieces, 2, F.size(values)).alias("next"))
     zipped = F.slice(zipped, 1, F.size(values))
     nothing = F.expr(
@@ -101,7 +113,7 @@ def matches(text: Column, kind: str, pattern: str) -> Column:
         return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
     found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), nothing.alias("spans")), step, lambda done: done["spans"])
-    return F.when(F.rlike(text, F.lit(HINTS[kind])), found).otherwise(nothing)
+    return F.when(F.size(pieces) > 0, found).otherwise(nothing)
 
 
 def _digits(value: Column) -> Column:
@@ -126,18 +138,8 @@ def _holds(span: Column, kind: str) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column) -> Column:
-    """Base spans of all kinds, as from `matches`."""
-
-    def checked(kind: str) -> Column:
-        return F.filter(matches(text, kind, BASE[kind]), lambda span: _holds(span, kind))
-
-    return F.concat(*map(checked, KINDS))
-
-
-def candidate_spans(text: Column) -> Column:
-    """Spans of all generators, as from `matches`."""
-    return F.concat(*[matches(text, k, GENERATORS[k]) for k in KINDS])
+def _checked(found: Column, kind: str) -> Column:
+    return F.filter(found, lambda span: _holds(span, kind))
 
 
 def features(kind: Column, value: Column, before: Column, after: Column) -> dict[str, Column]:
@@ -180,10 +182,27 @@ def _overlap(a: Column, b: Column) -> Column:
 
 
 def _spans_of(docs: DataFrame, carried: Column, name: str) -> DataFrame:
-    """`carried` as `name`, the text (null as empty) and its base spans and candidates."""
+    """`carried` as `name`, the text (null as empty) as `content`, its `base` spans and its
+    `candidates`, as from `spans`: leftmost matches of each pattern that do not overlap.
+
+    Each column builds on the ones before, so a pattern runs only on texts that may match,
+    and once more to cut those that do.
+    """
+    text, digit = F.col("content"), F.col("digit")
     rows = docs.select(carried.alias(name), F.coalesce("text", F.lit("")).alias("content"))
-    text = F.col("content")
-    return rows.select(name, "content", base_spans(text).alias("base"), candidate_spans(text).alias("candidates"))
+    rows = rows.withColumn("digit", F.rlike(text, F.lit("[0-9]")))
+    patterns = {("base", k): (BASE[k], BASE_HINTS[k]) for k in KINDS}
+    patterns |= {("candidates", k): (GENERATORS[k], GENERATOR_HINTS[k]) for k in KINDS}
+    values, pieces, results = {}, {}, {"base": [], "candidates": []}
+    for (group, kind), (pattern, hint) in patterns.items():
+        column = f"{group}_{kind}"
+        hinted = F.rlike(text, F.lit(hint)) if kind == "email" else digit & F.rlike(text, F.lit(hint))
+        values[column] = F.when(hinted, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+        pieces[f"{column}_cut"] = F.when(F.size(column) > 0, F.split(text, pattern, -1))
+        found = spans(kind, F.col(column), F.col(f"{column}_cut"))
+        results[group].append(_checked(found, kind) if group == "base" else found)
+    rows = rows.withColumns(values).withColumns(pieces)
+    return rows.select(name, "content", *[F.concat(*parts).alias(group) for group, parts in results.items()])
 
 
 def _training_rows(docs: DataFrame, training: Training) -> DataFrame:
@@ -265,8 +284,7 @@ def train(docs: DataFrame, training: Training = Training()) -> Detector | None:
 
 
 def find_spans(docs: DataFrame, detector: Detector | None, carried: Column, name: str) -> DataFrame:
-    """`carried` as `name`, `content` (the text, null as empty), `base` and
-    `spans`: both arrays of (start, place, end, kind) in order of start, then kind."""
+    """`carried` as `name`, `content` (the text, null as empty), `base` and `spans`: both arrays of (start, place, end, kind) in order of start, then kind."""
     rows = _spans_of(docs, carried, name)
 
     def bare(span: Column) -> Column:
