@@ -1,4 +1,4 @@
-"""Averages that do not depend on the order of the rows."""
+"""Rounded averages."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_average(column: str, digits: int = 2) -> Column:
-    """Average of the non-NULL values, rounded half up.
-
-    Values are summed as decimals, since a sum of doubles changes with task order.
-    """
-    total = F.sum(F.col(column).cast("decimal(28,4)")).cast("double")
-    average = F.try_divide(total, F.count(column))
-    return F.round(average.cast("decimal(28,4)"), digits).cast("double")
+def rounded_average(column: str, digits: int = 2) -> Column:
+    """Average of the non-NULL values, rounded once, half up."""
+    return F.round(F.avg(F.col(column).cast("double")), digits)

@@ -2,18 +2,9 @@
 
 from __future__ import annotations
 
-from typing import Any
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that one task can join without trouble, the number of larger keys
-# treated on their own, and the size of the sketch that looks for them.
-HOT_ROWS = 1_000_000
-MAX_HOT = 1_000
-SKETCH_ITEMS = 50_000
-SKETCH_SLICES = 256
-
 
 def _no_shared_columns(left: DataFrame, right: DataFrame, key: str) -> None:
     shared = (set(left.columns) & set(right.columns)) - {key}
@@ -31,45 +22,15 @@ def left_lookup(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     return rows.join(lookup, key, "left")
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Any]:
-    """Keys that own at least `hot_rows` rows, the largest `MAX_HOT` of them at most.
-
-    A table of fewer rows, which file footers tell, has none. Otherwise the key column is
-    read once. Each task keeps a frequent-items sketch, so what is shuffled
-    does not grow with the rows, and sketches merge in two steps, so no task merges them
-    all. A key the sketch misses owns less than about one in ten thousand rows.
-    """
-    if df.count() < hot_rows:
-        return []
-    sketches = (
-        df.select(F.col(key).alias("key"))
-        .filter(F.col("key").isNotNull())
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES)))
-        .agg(F.expr(f"approx_top_k_accumulate(key, {SKETCH_ITEMS})").alias("sketch"))
-    )
-    # Grouped by a constant: without any row there is no sketch to merge.
-    merged = sketches.groupBy(F.lit("all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
-    )
-    found = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT})")).alias("found"))
-    return [row[0] for row in found.filter(F.col("found.count") >= hot_rows).select("found.item").collect()]
-
-
-def left_fan_out(
-    heads: DataFrame, details: DataFrame, key: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def left_fan_out(heads: DataFrame, details: DataFrame, key: str) -> DataFrame:
     """Left join where one head may own very many details.
 
-    Adaptive execution splits a hot key only on the left side of a left join, so one head
-    with a third of all details would be one task. Hot keys are looked for first (one job
-    over the key column of `details`). They all have details, so for them an inner join
-    does, which is split on both sides; the other keys keep the left join.
+    Adaptive execution splits a hot key on both sides of an inner join, but only on the left
+    side of a left join. So heads with details take an inner join; heads without are those
+    that no distinct key of the details matches, and distinct keys are not hot.
     """
     _no_shared_columns(heads, details, key)
-    hot = hot_keys(details, key, hot_rows)
-    if not hot:
-        return heads.join(details, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    split = heads.filter(is_hot).join(details.filter(is_hot), key, "inner")
-    plain = heads.filter(~is_hot).join(details.filter(~is_hot), key, "left")
-    return plain.unionByName(split)
+    owners = details.select(key).filter(F.col(key).isNotNull()).distinct()
+    alone = heads.join(owners, key, "left_anti").select(key, *[c for c in heads.columns if c != key])
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in details.schema if f.name != key]
+    return heads.join(details, key, "inner").unionByName(alone.select("*", *missing))

@@ -9,8 +9,6 @@ The end rows are found by narrowing. A bracket of rows too large to sort is cut
 picked from a sorted sample, the pieces are counted exactly in one aggregate over the
 table, and the pieces holding a wanted position go on. The sample only decides how fast
 the brackets shrink (about 50-fold per round); the counts decide the answer.
-
-A table counted to be small is left to the ordinary window.
 """
 
 from __future__ import annotations
@@ -42,7 +40,7 @@ SAMPLE_ROWS = 50_000
 
 # Types whose values come back from Python unchanged, as an end row must.
 _EXACT_TYPES = (
-    BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegralType, StringType, TimestampNTZType,
+    BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegralType, StringType,
 )
 
 
@@ -60,12 +58,20 @@ class Bracket:
     start: int
     stop: int
     wanted: tuple[int, ...]
+    stalled: int = 0
 
     @property
     def rows(self) -> int:
         return self.stop - self.start
 
 
+def _comparable(df: DataFrame, column: Column) -> Column:
+    """Times without a zone as microseconds: Python would move them to its own zone."""
+    if isinstance(df.select(column.alias("c")).schema["c"].dataType, TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), column)
+    return column
+
+
 class Orderings:
     """Named orderings of a table: ascending columns, NULLs first, the last one unique.
 
@@ -74,7 +80,7 @@ class Orderings:
 
     def __init__(self, df: DataFrame, columns: Mapping[str, Sequence[Column]]):
         self.df = df
-        self.columns = columns
+        self.columns = {name: [_comparable(df, c) for c in keys] for name, keys in columns.items()}
         structs = [self.row(name).alias(name) for name in columns]
         self.types: dict[str, StructType] = {f.name: f.dataType for f in df.select(*structs).schema}
         for name, struct in self.types.items():
@@ -183,7 +189,8 @@ def _narrow(orderings: Orderings, brackets: Sequence[Bracket], sample_rows: int,
         for (low, start), (high, stop) in pairwise(marks):
             wanted = tuple(w for w in bracket.wanted if start < w <= stop)
             if wanted:
-                pieces.append(Bracket(bracket.name, low, high, start, stop, wanted))
+                stalled = bracket.stalled + 1 if stop - start > 0.9 * bracket.rows else 0
+                pieces.append(Bracket(bracket.name, low, high, start, stop, wanted, stalled))
     return pieces
 
 
@@ -202,12 +209,11 @@ def bucket_end_rows(
         return result
     brackets = [Bracket(name, None, None, 0, rows, tuple(ends)) for name in orderings.columns]
     sort_rows = max(sort_rows, sample_rows)
-    seed = stalled = 0
+    seed = 0
     while wide := [b for b in brackets if b.rows > sort_rows]:
         seed += 1
         pieces = _narrow(orderings, wide, sample_rows, seed)
-        stalled = stalled + 1 if max(b.rows for b in pieces) >= max(b.rows for b in wide) else 0
-        if stalled == 5:
+        if max(b.stalled for b in pieces) == 5:
             raise ValueError("too many rows tie; end each ordering with a unique column")
         brackets = [b for b in brackets if b.rows <= sort_rows] + pieces
 
@@ -244,11 +250,6 @@ def with_ntiles(
     table = df if stable else materialize(df, "ntile")
     keyed = Orderings(table, orderings)
     rows = table.count()
-    if rows <= sort_rows:
-        return table.withColumns({
-            name: F.ntile(buckets).over(Window.orderBy(*[c.asc_nulls_first() for c in columns]))
-            for name, columns in orderings.items()
-        })
     ends = bucket_end_rows(
         keyed, bucket_ends(rows, buckets), rows, sort_rows=sort_rows, sample_rows=sample_rows
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestrata.functions.rounding import exact_average
+from orestrata.functions.rounding import rounded_average
 from orestrata.plans.rfm import PERSON
 from orestrata.plans.silver import CANCELED
 
@@ -23,7 +23,7 @@ def segment_distribution(
     segments: DataFrame, metrics: Sequence[str] = ("monetary", "recency", "frequency")
 ) -> DataFrame:
     """Customers and average metrics per segment, largest segment first."""
-    averages = [exact_average(metric).alias(f"avg_{metric}") for metric in metrics]
+    averages = [rounded_average(metric).alias(f"avg_{metric}") for metric in metrics]
     return (
         segments.groupBy("rfm_segment")
         .agg(F.count(F.lit(1)).alias("customer_count"), *averages)

@@ -32,8 +32,14 @@ def fill_delivery(
     delivered: str = "order_delivered_customer_date",
     estimated: str = "order_estimated_delivery_date",
 ) -> DataFrame:
-    """The estimated delivery date where no delivery is recorded."""
-    return orders.withColumn(delivered, F.coalesce(delivered, estimated))
+    """The estimated delivery date where no delivery is recorded.
+
+    The dates are filled as they are, text before it is parsed: a delivery date that is no
+    date stays one. Where only one of the columns is text, both are taken as text.
+    """
+    kinds = {orders.schema[c].dataType.typeName() for c in (delivered, estimated)}
+    dates = [F.col(c).cast("string") if len(kinds) > 1 and "string" in kinds else F.col(c) for c in (delivered, estimated)]
+    return orders.withColumn(delivered, F.coalesce(*dates))
 
 
 def clean_orders(orders: DataFrame, excluded: str = CANCELED) -> DataFrame:

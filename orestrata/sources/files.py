@@ -26,14 +26,16 @@ def read_csv(
     * `schema`: the whole schema; the header must agree with it.
     * `types`: some columns by name, the rest strings. A value that does not fit is NULL.
     * `infer`: Spark guesses every type, at the price of one more pass over the files.
+
+    Of several files, each must have the same columns in the same order; any other header
+    is an error when the file is read.
     """
     # RFC 4180 quoting: a quote inside a quoted field is doubled.
     reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
-    if schema is not None:
-        return reader.option("enforceSchema", False).schema(schema).csv(path)
-    if infer:
-        return reader.option("inferSchema", True).csv(path)
-    raw = reader.csv(path)
+    if schema is None:
+        schema = reader.option("inferSchema", infer).csv(path).schema
+    # Every file's header must agree, or columns would be read by position.
+    raw = spark.read.options(header=True, escape='"', multiLine=multi_line, enforceSchema=False).schema(schema).csv(path)
     types = types or {}
     return raw.withColumns({c: F.col(c).try_cast(types[c]) for c in raw.columns if c in types})
 

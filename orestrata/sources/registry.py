@@ -25,17 +25,8 @@ MONEY = "decimal(20,4)"
 
 # Dataset names, and the columns of each that are not plain text.
 DATASETS = (
-    Dataset(
-        "orders",
-        "orders.csv",
-        {
-            "order_purchase_timestamp": "timestamp",
-            "order_approved_at": "timestamp",
-            "order_delivered_carrier_date": "timestamp",
-            "order_delivered_customer_date": "timestamp",
-            "order_estimated_delivery_date": "timestamp",
-        },
-    ),
+    # Its dates stay text until silver has filled the missing ones.
+    Dataset("orders", "orders.csv"),
     Dataset(
         "order_items",
         "order_items.csv",

@@ -83,14 +83,28 @@ def register_all(
 
 
 def table_or_register(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """The catalog table with its present files, registered from its path if not known."""
-    if spark.catalog.tableExists(name):
-        spark.catalog.refreshTable(name)
-    else:
-        register_table(spark, name, path)
+    """The catalog table of `path` with its present files and partitions.
+
+    A name that is not known, or stands for another place, is registered for `path`, which
+    must hold a table.
+    """
+    moved = spark.catalog.tableExists(name) and location(spark, name) != _plain(path)
+    if moved:
+        read_table(spark, path)  # fails before the name is given up
+    register_table(spark, name, path, replace=moved)
     return spark.table(name)
 
 
+def _plain(path: str) -> str:
+    return "/" + path.removeprefix("file:").strip("/") if path.startswith(("file:", "/")) else path.rstrip("/")
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """Folder of a catalog table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").filter("col_name = 'Location'")
+    return _plain(described.first().data_type)
+
+
 def databases(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW DATABASES")
 

@@ -116,3 +116,12 @@ def test_opt_in_cleaning(spark, rows):
     assert silver.build_silver(*twice).count() > len(once)
     kept = silver.build_silver(orders, customers, items, products, required=["product_id"])
     assert rows(kept, *picked) == [r for r in once if r[1] is not None]
+
+
+def test_delivery_of_another_type_is_filled(spark, rows):
+    orders = spark.createDataFrame(
+        [("1", "no date", datetime(2018, 1, 3)), ("2", None, datetime(2018, 1, 4))],
+        "order_id string, order_delivered_customer_date string, order_estimated_delivery_date timestamp",
+    ).withColumn("order_status", F.lit("x"))
+    cleaned = silver.clean_orders(orders)
+    assert rows(cleaned, "order_id", F.to_date("order_delivered_customer_date").cast("string")) == [("1", None), ("2", "2018-01-04")]

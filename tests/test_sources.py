@@ -3,6 +3,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from orestrata.session import shuffle_partitions
@@ -147,7 +148,10 @@ def test_a_table_is_registered_when_it_is_not_known(spark, tmp_path):
     tables.write_table(spark.range(4), str(tmp_path / "t"))
     assert not spark.catalog.tableExists(name)
     assert tables.table_or_register(spark, name, str(tmp_path / "t")).count() == 4
-    assert tables.table_or_register(spark, name, "/nowhere").count() == 4
+    with pytest.raises(AnalysisException):
+        tables.table_or_register(spark, name, "/nowhere")
+    spark.range(7).write.parquet(str(tmp_path / "other"))
+    assert tables.table_or_register(spark, name, str(tmp_path / "other")).count() == 7
 
 
 def test_listing(spark, tmp_path):
@@ -210,3 +214,20 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
 def test_shuffle_partitions():
     assert shuffle_partitions(0) == 200
     assert shuffle_partitions(100 * 1024**4) == 409_600
+
+
+def test_overwritten_partitions_are_found(spark, tmp_path):
+    path, name = str(tmp_path / "p"), f"default.p_{tmp_path.name.replace('-', '_')}"
+    one, other = (spark.range(n).withColumn("label", F.lit(label)) for n, label in ((3, "a"), (7, "b")))
+    tables.write_table(one, path, ["label"])
+    assert tables.table_or_register(spark, name, path).count() == 3
+    tables.write_table(other, path, ["label"])
+    assert tables.table_or_register(spark, name, path).count() == 7
+
+
+@pytest.mark.parametrize("how", [{}, {"infer": True}])
+def test_files_with_other_headers_are_refused(spark, tmp_path, how):
+    _write(tmp_path, "a.csv", "x,y\n1,2\n")
+    _write(tmp_path, "b.csv", "y,x\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(tmp_path), **how).collect()
