@@ -6,9 +6,9 @@ notations, IPv6 addresses, emails written with (at) and (dot). Boosted trees jud
 features of its format and of the text around it, and a threshold per kind, calibrated for
 precision on candidates that the trees have not seen, selects the ones to add.
 
-There are no labels, so the trees learn from the base rules: candidates that overlap a base
-span of their kind are positive, as are the same values rewritten in the other notations;
-all other candidates are negative.
+There are no labels, so the trees learn from the base rules: candidates are positive that
+overlap a base span of their kind, or would be one in plain notation, and so are the same
+values rewritten in other notations; all other candidates are negative.
 
 Everything on the rows is a column expression, trees included, so a document is one row
 from start to end and nothing is shuffled; only a bounded sample of candidates is gathered
@@ -142,6 +142,23 @@ def _checked(found: Column, kind: str) -> Column:
     return F.filter(found, lambda span: _holds(span, kind))
 
 
+def _plainly_valid(span: Column) -> Column:
+    """Whether a candidate, put into plain notation, is what a base rule accepts."""
+    value = span["value"]
+    at, dot = r"\s?[(\[](?i:at)[)\]]\s?", r"\s?[(\[](?i:dot)[)\]]\s?"
+    plain = {
+        "email": F.regexp_replace(F.regexp_replace(value, at, "@"), dot, "."),
+        "ip": F.regexp_replace(value, r"\s", ""),
+        "card": F.regexp_replace(value, "[^0-9]+", "-"),
+        "phone": F.regexp_replace(value, "^00", "+"),
+    }
+    valid = F.lit(False)
+    for kind, text in plain.items():
+        accepted = F.rlike(text, F.lit(f"^(?:{BASE[kind]})$")) & _holds(F.struct(text.alias("value")), kind)
+        valid = F.when(span["kind"] == kind, accepted).otherwise(valid)
+    return valid
+
+
 def features(kind: Column, value: Column, before: Column, after: Column) -> dict[str, Column]:
     """Numbers that describe a candidate's format and context."""
 
@@ -215,6 +232,7 @@ def _training_rows(docs: DataFrame, training: Training) -> DataFrame:
     order = F.xxhash64(F.lit(training.seed), "doc_id", "c.kind", "c.start", "c.value")
     sample = spans.select("doc_id", "base", one).withColumn("order", order)
     label = F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & _overlap(b, F.col("c")))
+    label = label | _plainly_valid(F.col("c"))
     sample = sample.select("order", "c.*", label.alias("label")).orderBy("order", "value", "start").limit(training.candidates)
 
     value = F.col("value")

@@ -1,0 +1,252 @@
+"""Operators on documents against brute force."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from orestrata.llm import classify, fingerprints, links, mixing, near_dedup, pii, queries, sentencepiece, token_counts
+
+
+def _words(text):
+    return (text or "").encode().lower().split()
+
+
+def _set(text, k):
+    w = _words(text)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)])
+
+
+def _components(rows, k, percent):
+    """Smallest doc_id reachable from each, by comparing all pairs."""
+    sets = [_set(r.text, k) for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            named = rows[i].doc_id is not None and rows[j].doc_id is not None
+            if named and a and b and 100 * len(a & b) >= percent * len(a | b):
+                parent[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, r in enumerate(rows):
+        least[find(i)].append(r.doc_id)
+    return [min((d for d in least[find(i)] if d is not None), default=None) for i in range(len(rows))], sets
+
+
+@pytest.mark.parametrize("k, percent", [(3, 85), (5, 80)])
+def test_near_duplicates(docs, k, percent):
+    rows = docs.collect()
+    component, sets = _components(rows, k, percent)
+    want = Counter((r.doc_id, len(s), c, r.doc_id == c) for r, s, c in zip(rows, sets, component, strict=True))
+    got = near_dedup.near_duplicates(docs, shingle_words=k, percent=percent).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == want
+
+
+def test_large_groups_lose_no_link(spark):
+    """Groups far larger than a cell: the links are those of comparing all pairs."""
+    values = [(g, g * 1000 + i, bytes([(i * 37) % 250])) for g in range(2) for i in range(120)]
+    rows = spark.createDataFrame(values, "group bigint, id bigint, payload binary")
+
+    def close(payloads):
+        numbers = [p[0] for p in payloads]
+        return lambda one, others: abs(__import__("numpy").array([numbers[o] for o in others]) - numbers[one]) <= 1
+
+    found = links.spanning_links(rows.select("group", "id"), rows.select("id", "payload"), close, 16)
+    label = {r.id: r.component for r in links.components(found).collect()}
+    for g in range(2):
+        own = sorted((p[0], i) for gg, i, p in values if gg == g)
+        runs, run = [], [own[0]]
+        for a, b in zip(own, own[1:], strict=False):
+            if b[0] - a[0] <= 1:
+                run.append(b)
+            else:
+                runs.append(run)
+                run = [b]
+        for run in [*runs, run]:
+            ids = {i for _, i in run}
+            assert {label.get(i, i) for i in ids} == {min(ids)}
+
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _valid(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "phone":
+        return 10 <= len(digits) <= 15
+    doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(map(int, digits[::-1]))]
+    return kind == "email" or 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+
+
+def _base(text):
+    found = [
+        (m.start(), place, m.end(), kind)
+        for place, (kind, pattern) in enumerate(BASE.items())
+        for m in re.finditer(pattern, text or "")
+        if _valid(kind, m.group())
+    ]
+    return ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in sorted(found))
+
+
+TRICKY = [
+    "a@b.c_d@e.f a@b a@b.c. x@y.z-", "1.2.3.4.5.6.7.8 00.000.0001.0255 999.1.1.1 1.2.3", "\U0001f600 +12 345-678.90 (1) +1 +12345678901234567",
+    "4111-1111 1111-1111 4111  1111 " + "1 " * 9000, "5" * 20000, "é@x.de ü.a@b.de +49 (30) 1234567-8)", "+1 2 3 4 5 6 7 8 9 0", None, "",
+]
+
+
+def test_base_spans(spark):
+    rows = spark.createDataFrame(list(enumerate(TRICKY)), "doc_id bigint, text string")
+    got = pii.find_spans(rows, None, F.col("doc_id"), "doc_id")
+    for r in got.select("doc_id", pii.written(F.col("base")).alias("b"), pii.written(F.col("spans")).alias("s")).collect():
+        assert r.b == r.s == _base(TRICKY[r.doc_id])
+
+
+def test_trained_spans_keep_the_base(spark):
+    texts = [f"write to u{i}.x@host{i}.org now" if i % 2 else f"see {i}.1.2.3 or call +1 555 {1000000 + i}" for i in range(60)]
+    texts += [f"numbers {10**15 + 7 * i} and at {i}:30 pm" for i in range(60)] + ["reach jo (at) mail (dot) example (dot) org soon"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = pii.detect(rows).select("doc_id", pii.written(F.col("base")).alias("b"), pii.written(F.col("spans")).alias("s")).collect()
+    assert all(set(r.b.split(",")) <= set(r.s.split(",")) or not r.b for r in found)
+    assert all(r.b == _base(texts[r.doc_id]) for r in found)
+    assert [r.s for r in found if r.doc_id == 120] == ["email:6:41"]
+
+
+def test_redaction(docs, nothing):
+    clean = pii.redact(docs)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    texts = [r.text for r in clean.collect() if r.text and "[" in r.text]
+    assert "mail me: [EMAIL] or call [PHONE] now" in texts and "card [CARD], ip [IP] and 1.2.3.456" in texts
+    assert pii.redact(nothing).count() == 0
+
+
+def test_mix(docs, nothing):
+    got = mixing.mix_sources(docs).select("row.doc_id", "row.source", "size", "source_size", "target", "copies", "taken").collect()
+    assert len(got) == docs.count()
+    sizes = Counter()
+    for r in docs.collect():
+        sizes[r.source] += len(_words(r.text))
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    total, target, capped = 1.5 * sum(sizes.values()), {}, {}
+    while True:
+        going = [s for s in names if s not in capped]
+        level = (total - sum(capped.values())) / sum(weights[s] for s in going)
+        target = {s: capped.get(s, weights[s] * level) for s in names}
+        above = [s for s in going if target[s] > 2 * sizes[s]]
+        if not above:
+            break
+        capped |= {s: 2 * sizes[s] for s in above}
+    taken = Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(target[r.source])
+        assert r.taken == r.size * r.copies and 0 <= r.copies <= 2
+        taken[r.source] += r.taken
+    largest = max(r.size for r in got)
+    assert all(abs(taken[s] - target[s]) <= 1.5 * largest for s in names)
+    again = mixing.mix_sources(docs.repartition(7)).select("row.doc_id", "row.source", "size", "source_size", "target", "copies", "taken")
+    assert Counter(again.collect()) == Counter(got)
+    mixed = mixing.emit_copies(mixing.mix_sources(docs))
+    assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in got)
+    assert mixing.mix_sources(nothing).count() == 0
+
+
+def test_quality(spark, docs, nothing):
+    good = [(i, f"the cat sat on mat number {i % 7} and slept well", None) for i in range(200)]
+    bad = [(1000 + i, f"BUY!! NOW!! {i % 5} $$$ CLICK!! HERE!!", None) for i in range(40)]
+    rows = spark.createDataFrame(good + bad, "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)] + [(1000 + i, 0, None) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r.selected for r in classify.select_quality(rows, labels).collect()}
+    assert all(got[i] for i in range(200)) and not any(got[1000 + i] for i in range(40))
+    assert classify.select_quality(docs, labels.limit(0)).filter("selected").count() == docs.count()
+    assert classify.select_quality(nothing, labels).count() == 0
+
+
+def test_fingerprints(docs, nothing):
+    rows = docs.collect()
+    got = fingerprints.fingerprint_edits(docs).collect()
+    order = sorted(rows, key=lambda r: (r.doc_id is None, -(r.doc_id or 0)))
+    want = Counter()
+    for r, after in zip(order, order[1:] + order[:1], strict=True):
+        text, following = r.text or "", after.text or ""
+        size = len(text) // 3
+        want[r.doc_id, len(text), hashlib.sha256((text[: len(text) - size] + following[:size]).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
+    by_text = defaultdict(set)
+    texts = {r.doc_id: r.text or "" for r in rows}
+    for r in got:
+        by_text[texts[r.doc_id]].add(r.fingerprint)
+        assert 0 <= r.near_edited <= 1 and r.near_edited == pytest.approx(fingerprints.compare(r.fingerprint, r.edited_fingerprint))
+    assert all(len(f) == 1 for f in by_text.values()) and len({*map(tuple, by_text.values())}) == len(by_text)
+    assert fingerprints.fingerprint_edits(nothing).count() == 0
+
+
+def test_edits_are_located():
+    text = "".join(f"Line {i} has some words. It has more of them here.\n" for i in range(40))
+    at = text.index("Line 20 has")
+    changed = text[:at] + "Xine" + text[at + 4 :]
+    one, other = (fingerprints.serialize(*fingerprints.tree(t)) for t in (text, changed))
+    ((start, end),) = fingerprints.edits(one, other)
+    assert start <= at < end <= start + 120 and 0.9 < fingerprints.compare(one, other) < 1
+
+
+def test_sentencepiece(docs, nothing):
+    sentencepiece.verify_parity(queries.PIECES, [r.text for r in docs.collect() if r.text])
+    sentencepiece.verify_parity(queries.PIECES)
+    coded = sentencepiece.decode(sentencepiece.encode(docs, queries.PIECES), queries.PIECES)
+    assert all(r.decoded == (r.text or "") and (r.token_ids == []) == (not r.text) for r in coded.collect())
+    assert sentencepiece.encode(nothing, queries.PIECES).count() == 0
+
+
+def test_unigram_model(tmp_path):
+    """A hand-made unigram model with byte fallback, against the library."""
+    import struct
+
+    def field(number, kind, value):
+        key = bytes([number << 3 | kind]) if number < 16 else bytes([number << 3 & 127 | kind | 128, number >> 4])
+        return key + (bytes([len(value)]) + value if kind == 2 else value)
+
+    pieces = [("<unk>", 0, 2), ("<s>", 0, 3), ("</s>", 0, 3)] + [(f"<0x{b:02X}>", 0, 6) for b in range(256)]
+    pieces += [("\u2581", -2.0, 1), ("\u2581the", -1.5, 1), ("\u2581th", -3.0, 1), ("e", -2.5, 1), ("cat", -2.2, 1), ("c", -4.0, 1), ("at", -3.1, 1), ("s", -2.0, 1)]
+    data = b"".join(
+        field(1, 2, field(1, 2, t.encode()) + field(2, 5, struct.pack("<f", s)) + field(3, 0, bytes([k]))) for t, s, k in pieces
+    )
+    data += field(2, 2, field(3, 0, b"\x01") + field(35, 0, b"\x01"))
+    data += field(3, 2, field(1, 2, b"identity") + field(3, 0, b"\x01") + field(4, 0, b"\x00") + field(5, 0, b"\x01"))
+    path = tmp_path / "unigram.model"
+    path.write_bytes(data)
+    sentencepiece.verify_parity(str(path), ["the cats", "cat the  the", "xyz the", "é cat", "", "thee"])
+
+
+def test_token_ledger(spark, docs, tmp_path):
+    counted = token_counts.with_token_count(docs.select("source", "lang", "text"), queries.RANKS)
+    ledger = token_counts.TokenLedger(spark, str(tmp_path))
+    assert ledger.totals().count() == 0
+    guess = counted.withColumns({"old_tokens": F.lit(5).cast("bigint")})
+    for _ in range(2):
+        ledger.commit("a", token_counts.inserts(guess.withColumn("tokens", F.col("old_tokens")), "v"))
+    ledger.commit("b", token_counts.revisions(guess, "v"))
+    ledger.commit("c", token_counts.deletes(counted.filter("tokens = 0"), "v"))
+    want = Counter()
+    for r in counted.collect():
+        want[r.source, r.lang, "documents"] += r.tokens > 0
+        want[r.source, r.lang, "tokens"] += r.tokens
+    for r in ledger.totals().collect():
+        assert (r.documents, r.tokens) == (want[r.source, r.lang, "documents"], want[r.source, r.lang, "tokens"])
+    assert sum(r.tokens for r in ledger.totals().collect()) == sum(v for k, v in want.items() if k[2] == "tokens")
