@@ -111,18 +111,12 @@ def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per kept order. Prices and taxes have two decimals, so an item's worth,
-    price x (1 + tax), is a whole number of ten-thousandths."""
-    worth = F.rint(F.col("l_extendedprice") * 100).cast("bigint") * (F.rint(F.col("l_tax") * 100).cast("bigint") + 100)
-    items = _given(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"), worth.alias("worth"))
-    return rfm.order_sales(_kept(spark, sf_dir), _customers(spark, sf_dir), items, "worth")
-
-
-UNITS = 10_000
+    """One row per kept order."""
+    return rfm.order_sales(_kept(spark, sf_dir), _customers(spark, sf_dir), _items(spark, sf_dir))
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.rfm_base(_sales(spark, sf_dir), "amount", units=UNITS)
+    return rfm.rfm_base(_sales(spark, sf_dir), "amount")
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +168,38 @@ def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def _raw_files(spark: SparkSession, sf_dir: str):
+def ingest_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items ingested from a file in which the price of every seventh line is no number."""
+    price = F.when(F.col("l_linenumber") == 7, "n/a").otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"))
+    items = _given(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"), price.alias("price"))
+    base, datasets = scratch_path(spark, "layers"), only("order_items")
+    items.write.csv(f"{base}/raw/{datasets[0].file}", header=True)
+    counted = stages.ingest_counts(spark, f"{base}/raw", base, datasets)
+    rows = [(name, c.rows_read, c.rows_written, c.unreadable) for name, c in counted.items()]
+    return spark.createDataFrame(rows, "dataset string, rows_read bigint, rows_written bigint, unreadable bigint")
+
+
+def malformed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders ingested from CSV with every tenth delivery date no date, and cleaned; both with
+    declared and with inferred types."""
+    base, datasets = scratch_path(spark, "layers"), only("orders")
+    orders = _dated_orders(spark, sf_dir).withColumns({
+        c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("order_delivered_customer_date", "order_estimated_delivery_date")
+    })
+    bad = F.when(F.col("order_id") % 10 == 0, "no date").otherwise(F.col("order_delivered_customer_date"))
+    orders.withColumn("order_delivered_customer_date", bad).write.csv(f"{base}/raw/{datasets[0].file}", header=True)
+
+    def cleaned(infer: bool) -> DataFrame:
+        layers = f"{base}/{infer}"
+        stages.ingest(spark, f"{base}/raw", layers, datasets, infer=infer)
+        kept = silver.clean_orders(tables.read_table(spark, stages.layer_path(layers, "bronze", "orders")), EXCLUDED)
+        delivered = F.col("order_delivered_customer_date").cast("timestamp_ntz").alias("order_delivered_customer_date")
+        return kept.select(F.lit(infer).alias("inferred"), F.col("order_id").cast("bigint").alias("order_id"), delivered)
+
+    return cleaned(False).unionAll(cleaned(True))
+
+
+def _raw_files(spark: SparkSession, sf_dir: str, *, twice: bool = False):
     """The four datasets as CSV files in a new folder: (folder, datasets)."""
     base = scratch_path(spark, "layers")
     raw = {
@@ -185,6 +210,8 @@ def _raw_files(spark: SparkSession, sf_dir: str):
     }
     datasets = only(*raw)
     for dataset in datasets:
+        if twice:
+            raw[dataset.name] = raw[dataset.name].unionAll(raw[dataset.name])
         raw[dataset.name].write.csv(f"{base}/raw/{dataset.file}", header=True)
     return base, datasets
 
@@ -254,6 +281,14 @@ def agg_rfm_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.rfm_base(_silver(spark, sf_dir))
 
 
+def rfm_null_freight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics where the freight of some products is unknown: such an item counts for nothing."""
+    freight = F.when(F.col("product_id") % 5 != 0, F.col("freight_value"))
+    items = _items(spark, sf_dir).withColumn("freight_value", freight)
+    sales = rfm.order_sales(_kept(spark, sf_dir), _customers(spark, sf_dir), items)
+    return rfm.rfm_base(sales, "amount")
+
+
 def _one_score(score: str, metric: str) -> Callable[[SparkSession, str], DataFrame]:
     """One score, with bounds so low that the search for bucket ends has to narrow."""
 
@@ -272,7 +307,7 @@ def rfm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.rfm_segments(_sales(spark, sf_dir), "amount", units=UNITS)
+    return rfm.rfm_segments(_sales(spark, sf_dir), "amount")
 
 
 def rfm_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,6 +357,16 @@ def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.segment_distribution(stages.gold_table(spark, base, database))
 
 
+def layered_run_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every raw row twice, without duplicates and without sales of no product."""
+    base, datasets = _raw_files(spark, sf_dir, twice=True)
+    database = f"run_{uuid4().hex}"
+    tables.create_database(spark, database, f"{base}/catalog")
+    cleaning = {"drop_duplicates": True, "required": ["product_id"]}
+    stages.run_all(spark, f"{base}/raw", base, datasets, database, excluded=EXCLUDED, **cleaning)
+    return reports.segment_distribution(stages.gold_table(spark, base, database))
+
+
 # --- opt-in cleaning, upsert, catalog ------------------------------------------------
 
 
@@ -366,6 +411,44 @@ def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_check(spark, [f"{database}.{row.tableName}" for row in listed])
 
 
+def column_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the given tables as the catalog describes them, and their values counted."""
+    database = f"given_{uuid4().hex}"
+    tables.create_database(spark, database, scratch_path(spark, "catalog"))
+    names = tables.register_all(spark, {t: f"{sf_dir}/{t}.parquet" for t in GIVEN}, database)
+    return reports.column_check(spark, names).withColumn("table_name", F.substring_index("table_name", ".", -1))
+
+
+def database_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Databases found by listing, one made for each given table, and their rows."""
+    run = uuid4().hex
+    for table in GIVEN:
+        tables.create_database(spark, f"{table}_{run}", scratch_path(spark, "catalog"))
+        tables.register_table(spark, f"{table}_{run}.given", f"{sf_dir}/{table}.parquet")
+    listed = [row.namespace for row in tables.databases(spark).collect() if row.namespace.endswith(run)]
+    return reports.count_each({name.removesuffix(f"_{run}"): spark.table(f"{name}.given") for name in listed})
+
+
+def partitions_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A known partitioned table, overwritten with another label and resolved again."""
+    path, name = scratch_path(spark, "customers"), f"default.customers_{uuid4().hex}"
+    even = F.col("customer_id") % 2 == 0
+    for label, kept in (("a", even), ("b", ~even)):
+        tables.write_table(_customers(spark, sf_dir).filter(kept).withColumn("label", F.lit(label)), path, ["label"])
+        found = tables.table_or_register(spark, name, path)
+    return found
+
+
+def table_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A known table resolved for a second folder: the rows there."""
+    name = f"default.orders_{uuid4().hex}"
+    for status in (EXCLUDED, PLACED):
+        path = scratch_path(spark, "orders")
+        tables.write_table(_orders(spark, sf_dir).filter(F.col("order_status") == status), path)
+        found = tables.table_or_register(spark, name, path)
+    return found
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Customer segments at the smallest scale."""
     return rfm_segments(spark, SMOKE)
@@ -409,6 +492,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "drop_null_keys": drop_null_keys,
         "upsert_orders": upsert_orders,
         "catalog_listing": catalog_listing,
+        "ingest_losses": ingest_losses,
+        "malformed_dates": malformed_dates,
+        "rfm_null_freight": rfm_null_freight,
+        "layered_run_cleaned": layered_run_cleaned,
+        "column_listing": column_listing,
+        "database_listing": database_listing,
+        "partitions_replaced": partitions_replaced,
+        "table_moved": table_moved,
         **added,
     }
 
@@ -440,13 +531,13 @@ items AS (
 )"""
 
 
-def _base_sql(person: str = "c.c_custkey") -> str:
-    return f"""{_ORDERS}, {_ITEMS},
+def _base_sql(person: str = "c.c_custkey", items: str = _ITEMS, join: str = "LEFT JOIN") -> str:
+    return f"""{_ORDERS}, {items},
 sales AS (
     SELECT {person} AS customer_unique_id, o.order_id, o.order_purchase_timestamp, i.price, i.freight_value
     FROM orders_role o
     LEFT JOIN customer c ON c.c_custkey = o.customer_id
-    LEFT JOIN items i ON i.order_id = o.order_id
+    {join} items i ON i.order_id = o.order_id
     WHERE o.order_status <> 'F'
 ),
 base AS (
@@ -466,8 +557,8 @@ _F = "CAST(ntile(4) OVER (ORDER BY frequency NULLS FIRST, customer_unique_id NUL
 _M = "CAST(ntile(4) OVER (ORDER BY monetary NULLS FIRST, customer_unique_id NULLS FIRST) AS INTEGER) AS m_score"
 
 
-def _segments_sql(person: str = "c.c_custkey") -> str:
-    return f"""{_base_sql(person)},
+def _segments_sql(*args: str) -> str:
+    return f"""{_base_sql(*args)},
 scores AS (SELECT *, {_R}, {_F}, {_M} FROM base),
 strings AS (
     SELECT *, CAST(r_score AS VARCHAR) || CAST(f_score AS VARCHAR) || CAST(m_score AS VARCHAR) AS rfm_score_string
@@ -489,8 +580,8 @@ def _average(column: str) -> str:
     return f"round(avg({column}), 2) AS avg_{column}"
 
 
-def _distribution_sql(person: str = "c.c_custkey") -> str:
-    return f"""WITH {_segments_sql(person)}
+def _distribution_sql(*args: str) -> str:
+    return f"""WITH {_segments_sql(*args)}
     SELECT rfm_segment, count(*) AS customer_count, {_average("monetary")}, {_average("recency")},
            {_average("frequency")}
     FROM segments GROUP BY rfm_segment ORDER BY customer_count DESC, rfm_segment"""
@@ -512,6 +603,27 @@ silver AS (
     WHERE o.order_status <> 'F'
 )"""
 
+# Without duplicates, and with the freight of some products unknown.
+_DISTINCT_ITEMS = _ITEMS.replace("SELECT", "SELECT DISTINCT")
+_NULL_FREIGHT = """
+items AS (
+    SELECT l_orderkey AS order_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+           CASE WHEN l_partkey % 5 <> 0
+                THEN CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) END AS freight_value
+    FROM lineitem
+)"""
+
+
+def _columns_sql() -> str:
+    parts = [
+        f"SELECT '{table}' AS table_name, {position} AS position, '{column.split()[0]}' AS column_name, "
+        f"'{column.split()[1]}' AS data_type, count({column.split()[0]}) AS value_count FROM {table}"
+        for table, schema in GIVEN.items()
+        for position, column in enumerate(schema.split(", "))
+    ]
+    return " UNION ALL ".join(parts)
+
+
 _ITEM_COLUMNS = """CAST(i.product_id AS VARCHAR) AS product_id,
            CAST(i.price AS DOUBLE) AS price, CAST(i.freight_value AS DOUBLE) AS freight_value"""
 
@@ -614,4 +726,24 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'lineitem', 'l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,'
                 || 'l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate', count(*) FROM lineitem
             UNION ALL SELECT 'part', 'p_partkey,p_name,p_brand,p_type,p_size,p_retailprice', count(*) FROM part""",
+        "ingest_losses": """
+            SELECT 'order_items' AS dataset, count(*) AS rows_read, count(*) AS rows_written,
+                   count(*) FILTER (WHERE l_linenumber = 7) AS unreadable FROM lineitem""",
+        "malformed_dates": f"""WITH {_DATED}
+            SELECT inferred, order_id,
+                   CASE WHEN order_id % 10 <> 0 THEN coalesce(order_delivered_customer_date, order_estimated_delivery_date) END
+                       AS order_delivered_customer_date
+            FROM dated CROSS JOIN (VALUES (false), (true)) AS t(inferred) WHERE order_status <> 'F'""",
+        "rfm_null_freight": f"WITH {_base_sql('c.c_custkey', _NULL_FREIGHT)} SELECT * FROM base",
+        "layered_run_cleaned": _distribution_sql("CAST(c.c_custkey AS VARCHAR)", _DISTINCT_ITEMS, "JOIN"),
+        "column_listing": _columns_sql(),
+        "database_listing": """
+            SELECT 'orders' AS dataset, count(*) AS row_count FROM orders
+            UNION ALL SELECT 'customer', count(*) FROM customer
+            UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+            UNION ALL SELECT 'part', count(*) FROM part""",
+        "partitions_replaced": """
+            SELECT c_custkey AS customer_id, c_custkey AS customer_unique_id, c_mktsegment AS customer_market, 'b' AS label
+            FROM customer WHERE c_custkey % 2 <> 0""",
+        "table_moved": f"WITH {_ORDERS} SELECT * FROM orders_role WHERE order_status = 'O'",
     }

@@ -6,7 +6,8 @@ import argparse
 import json
 
 from orestrata.plans import reports, stages
-from orestrata.session import build_session
+from orestrata.plans.silver import CANCELED
+from orestrata.session import build_session, shuffle_partitions
 from orestrata.sources import tables
 from orestrata.sources.registry import DATASETS, with_files
 
@@ -21,25 +22,33 @@ def main() -> None:
     parser.add_argument("--files", help="JSON object: dataset name -> file under --raw")
     parser.add_argument("--database", default="default")
     parser.add_argument("--infer", action="store_true", help="let Spark guess CSV types")
+    parser.add_argument("--excluded", default=CANCELED, help="order status that silver leaves out")
+    parser.add_argument("--drop-duplicates", action="store_true", help="keep one of identical raw rows in silver")
+    parser.add_argument("--required", nargs="*", default=[], help="silver columns that must have a value")
+    parser.add_argument("--shuffle-gb", type=int, help="largest shuffle to expect, which sets the number of its partitions")
     parser.add_argument("--master", help="Spark master, when not run by spark-submit")
     args = parser.parse_args()
 
     datasets = with_files(json.loads(args.files)) if args.files else DATASETS
-    spark = build_session(f"orestrata {args.stage}", args.master)
+    cleaning = {"excluded": args.excluded, "drop_duplicates": args.drop_duplicates, "required": args.required}
+    conf = {}
+    if args.shuffle_gb:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions(args.shuffle_gb * 1024**3))
+    spark = build_session(f"orestrata {args.stage}", args.master, conf)
     try:
         if args.stage == "ingest":
-            print(stages.ingest(spark, args.raw, args.base, datasets, infer=args.infer))
+            print(stages.ingest_counts(spark, args.raw, args.base, datasets, infer=args.infer))
         elif args.stage == "register":
             print(stages.register_bronze(spark, args.base, datasets, args.database))
         elif args.stage == "check":
             tables.databases(spark).show(truncate=False)
             stages.check(spark, args.database).show(truncate=False)
         elif args.stage == "silver":
-            print(stages.silver(spark, args.base, args.database))
+            print(stages.silver(spark, args.base, args.database, **cleaning))
         elif args.stage == "gold":
             print(stages.gold(spark, args.base, args.database))
         elif args.stage == "all":
-            print(stages.run_all(spark, args.raw, args.base, datasets, args.database, infer=args.infer))
+            print(stages.run_all(spark, args.raw, args.base, datasets, args.database, infer=args.infer, **cleaning))
         if args.stage in ("gold", "report", "all"):
             gold = stages.gold_table(spark, args.base, args.database)
             reports.segment_distribution(gold).show(truncate=False)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orestrata.functions.rounding import rounded_average
 from orestrata.plans.rfm import PERSON
 from orestrata.plans.silver import CANCELED
+from orestrata.sources import tables
 
 # The status, the columns and the segment the standard reports look at.
 DELIVERED = "delivered"
@@ -108,3 +109,18 @@ def table_check(spark: SparkSession, names: Iterable[str]) -> DataFrame:
         for name, df in frames.items()
     ]
     return reduce(DataFrame.unionAll, parts)
+
+
+def column_check(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """Every column of each catalog table with its type and its number of values:
+    table_name, position, column_name, data_type, value_count."""
+    names = list(names)
+
+    def counted(name: str) -> DataFrame:
+        df = spark.table(name)
+        counts = df.agg(*[F.count(df[c]).alias(c) for c in df.columns])
+        values = counts.unpivot([], [counts[c] for c in df.columns], "column_name", "value_count")
+        return values.select(F.lit(name).alias("table_name"), "column_name", "value_count")
+
+    values = reduce(DataFrame.unionAll, map(counted, names))
+    return tables.describe(spark, names).join(values, ["table_name", "column_name"])

@@ -7,8 +7,9 @@ running it again gives the same result.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from orestrata.plans import reports
 from orestrata.plans.rfm import rfm_segments
@@ -22,6 +23,16 @@ SILVER_TABLE = "silver_sales"
 GOLD_TABLE = "gold_rfm_segments"
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """Rows read from the raw files, rows found in the written table, and values that do not
+    fit their declared type and became NULL."""
+
+    rows_read: int
+    rows_written: int
+    unreadable: int
+
+
 def ingest(
     spark: SparkSession,
     raw_base: str,
@@ -30,17 +41,32 @@ def ingest(
     *,
     infer: bool = False,
 ) -> dict[str, int]:
-    """Write every raw dataset to its bronze table unchanged; returns the rows written.
+    """Write every raw dataset to its bronze table; returns the rows written.
 
     Fails before the first write if any input is missing.
     """
+    counted = ingest_counts(spark, raw_base, base, datasets, infer=infer)
+    return {name: counts.rows_written for name, counts in counted.items()}
+
+
+def ingest_counts(
+    spark: SparkSession,
+    raw_base: str,
+    base: str,
+    datasets: Iterable[Dataset] = DATASETS,
+    *,
+    infer: bool = False,
+) -> dict[str, Ingested]:
+    """The same, with what was read and what was lost; counted while the files are read."""
     datasets = tuple(datasets)
     files.check_inputs(spark, raw_base, datasets)
     written = {}
     for dataset in datasets:
         path = layer_path(base, "bronze", dataset.name)
-        tables.write_table(files.read_dataset(spark, raw_base, dataset, infer=infer), path)
-        written[dataset.name] = tables.row_count(spark, path)
+        seen = Observation()
+        tables.write_table(files.read_dataset(spark, raw_base, dataset, infer=infer, seen=seen), path)
+        counts = seen.get
+        written[dataset.name] = Ingested(counts["rows"], tables.row_count(spark, path), counts["unreadable"])
     return written
 
 
@@ -115,12 +141,15 @@ def run_all(
     *,
     excluded: str = CANCELED,
     infer: bool = False,
+    drop_duplicates: bool = False,
+    required: Sequence[str] = (),
 ) -> dict[str, dict[str, int]]:
     """All stages in order; returns the rows that each counted."""
     datasets = tuple(datasets)
     counted = {"ingest": ingest(spark, raw_base, base, datasets, infer=infer)}
     register_bronze(spark, base, datasets, database)
     counted["check"] = {row.table_name: row.row_count for row in check(spark, database).collect()}
-    counted["silver"] = {SILVER_TABLE: silver(spark, base, database, excluded)}
+    rows = silver(spark, base, database, excluded, drop_duplicates=drop_duplicates, required=required)
+    counted["silver"] = {SILVER_TABLE: rows}
     counted["gold"] = {GOLD_TABLE: gold(spark, base, database)}
     return counted

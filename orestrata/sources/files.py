@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import add
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,6 +22,7 @@ def read_csv(
     types: Mapping[str, str] | None = None,
     infer: bool = False,
     multi_line: bool = False,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """CSV with a header row, typed in one of three ways.
 
@@ -29,6 +32,9 @@ def read_csv(
 
     Of several files, each must have the same columns in the same order; any other header
     is an error when the file is read.
+
+    `seen` counts, while the result is computed, the `rows` read and the `unreadable` values,
+    those that `types` turn into NULL.
     """
     # RFC 4180 quoting: a quote inside a quoted field is doubled.
     reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
@@ -36,17 +42,24 @@ def read_csv(
         schema = reader.option("inferSchema", infer).csv(path).schema
     # Every file's header must agree, or columns would be read by position.
     raw = spark.read.options(header=True, escape='"', multiLine=multi_line, enforceSchema=False).schema(schema).csv(path)
-    types = types or {}
-    return raw.withColumns({c: F.col(c).try_cast(types[c]) for c in raw.columns if c in types})
+    typed = {c: F.col(c).try_cast(types[c]) for c in raw.columns if c in (types or {})}
+    if seen is not None:
+        lost = [F.count_if(F.col(c).isNotNull() & value.isNull()) for c, value in typed.items()]
+        lost = reduce(add, lost, F.count_if(F.lit(False)))
+        raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"), lost.alias("unreadable"))
+    return raw.withColumns(typed)
 
 
-def read_dataset(spark: SparkSession, raw_base: str, dataset: Dataset, *, infer: bool = False) -> DataFrame:
+def read_dataset(
+    spark: SparkSession, raw_base: str, dataset: Dataset, *, infer: bool = False, seen: Observation | None = None
+) -> DataFrame:
     return read_csv(
         spark,
         source_path(raw_base, dataset),
         types=dataset.types,
         infer=infer,
         multi_line=dataset.multi_line,
+        seen=seen,
     )
 
 
