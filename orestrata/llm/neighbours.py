@@ -35,9 +35,9 @@ class Settings:
 
     trees: int = 8
     sample: int = 20_000
-    leaf: int = 32
+    leaf: int = 64
     search: int = 4_000
-    share: float = 0.0
+    share: float = 0.2
     block: int = 5_000
     seed: int = 3
 
@@ -215,7 +215,7 @@ def _rerank(k: int):
     return run
 
 
-_FILED = "tree int, leaf bigint, block int, role int, id bigint, vector array<double>"
+_FILED = "tree int, leaf bigint, block int, role int, id bigint, vector "
 
 
 def nearest(
@@ -232,7 +232,9 @@ def nearest(
     Of equal vectors only the k + 1 smallest keys are candidates, as no others can be among
     the k nearest. Leaves are searched whole.
     """
-    rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("vector"), is_query.alias("query"))
+    # Floats travel as floats; tasks widen them, which is exact.
+    kind = "array<float>" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast(kind).alias("vector"), is_query.alias("query"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
     lengths = rows.groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
     usual = lengths.orderBy(F.desc("rows"), F.desc("n")).first()
@@ -255,9 +257,9 @@ def nearest(
     total = sum(sizes[0].values())
     search = max(settings.search, int(settings.share * total)) * settings.trees // 2
 
-    filed = stored.mapInArrow(_file(forest, blocks), _FILED)
+    filed = stored.mapInArrow(_file(forest, blocks), _FILED + kind)
     queries = rows.filter("query").select("id", "vector")
-    probes = queries.mapInArrow(_probe(forest, sizes, blocks, search), _FILED)
+    probes = queries.mapInArrow(_probe(forest, sizes, blocks, search), _FILED + kind)
     place = ["tree", "leaf", "block"]
     meeting = filed.unionAll(probes).repartition(*place).sortWithinPartitions(*place, "role")
     found = meeting.mapInArrow(_rerank(k), "query_id bigint, vec_id bigint, score double")
