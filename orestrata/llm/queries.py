@@ -76,7 +76,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, a hash of their ids, and whether they decode to the text."""
     sentencepiece.verify_parity(PIECES)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = sentencepiece.decode(sentencepiece.encode(docs, PIECES), PIECES)
+    coded = sentencepiece.round_trip(docs, PIECES)
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("bigint").alias("n_tokens"),

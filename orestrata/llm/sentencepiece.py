@@ -20,6 +20,7 @@ from itertools import chain, compress, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructType
 from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -29,9 +30,9 @@ os.environ.setdefault("RAYON_NUM_THREADS", "2")
 
 MARK = "\u2581"
 CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-# Characters encoded in one go, and cuts whose ids a Python worker remembers.
-ENCODE_CHARS = 1 << 20
-REMEMBERED = 300_000
+# Bytes of text or ids worked on in one go, and cuts whose ids a Python worker remembers.
+SLICE_BYTES = 1 << 18
+REMEMBERED = 100_000
 CUTS_IN_LINE = 256
 
 # Kinds of pieces and of models, as the model file numbers them.
@@ -285,22 +286,35 @@ def verify_parity(path: str, texts: Sequence[str] = PROBES) -> None:
             raise ValueError(f"{text!r}: decoded to {codec.decode([ids])!r}")
 
 
-def _parts(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about `ENCODE_CHARS` together."""
+def _parts(batch: pa.RecordBatch, sizes: pa.Array) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about `SLICE_BYTES` together, or one larger row; only a
+    run at a time becomes Python objects."""
     start = total = 0
-    for i, size in enumerate(sizes):
-        if total and total + size > ENCODE_CHARS:
-            yield start, i
+    for i, size in enumerate(sizes.fill_null(0).to_pylist()):
+        if total and total + size > SLICE_BYTES:
+            yield batch.slice(start, i - start)
             start, total = i, 0
         total += size
-    if start < len(sizes):
-        yield start, len(sizes)
+    if start < batch.num_rows:
+        yield batch.slice(start)
 
 
-def _with_column(df: DataFrame, name: str, kind: DataType, function) -> DataFrame:
-    if name in df.columns:
-        raise ValueError(f"there is a column {name} already")
-    return df.mapInArrow(function, StructType([*df.schema.fields]).add(name, kind))
+def _encoded(codec: Codec, texts: pa.Array) -> pa.ListArray:
+    flat, ends = codec.encode_flat([value or "" for value in texts.to_pylist()])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))
+
+
+def _decoded(codec: Codec, ids: pa.Array) -> pa.StringArray:
+    return pa.array(codec.decode([value or [] for value in ids.to_pylist()]), pa.string())
+
+
+def _with_columns(df: DataFrame, columns: dict[str, DataType], function) -> DataFrame:
+    schema = StructType([*df.schema.fields])
+    for name, kind in columns.items():
+        if name in schema.names:
+            raise ValueError(f"there is a column {name} already")
+        schema = schema.add(name, kind)
+    return df.mapInArrow(function, schema)
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
@@ -313,14 +327,11 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "tok
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load_codec(model_path)
         for batch in batches:
-            texts = [value or "" for value in batch.column(batch.schema.names.index(text)).to_pylist()]
-            for start, end in _parts([len(value) for value in texts]):
-                flat, ends = codec.encode_flat(texts[start:end])
-                tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))
-                part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, tokens], [*batch.schema.names, ids])
+            at = batch.schema.names.index(text)
+            for part in _parts(batch, pc.binary_length(batch.column(at))):
+                yield pa.RecordBatch.from_arrays([*part.columns, _encoded(codec, part.column(at))], [*batch.schema.names, ids])
 
-    return _with_column(docs, ids, ArrayType(IntegerType()), run)
+    return _with_columns(docs, {ids: ArrayType(IntegerType())}, run)
 
 
 def decode(rows: DataFrame, model_path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -331,10 +342,26 @@ def decode(rows: DataFrame, model_path: str, ids: str = "token_ids", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load_codec(model_path)
         for batch in batches:
-            lists = [value or [] for value in batch.column(batch.schema.names.index(ids)).to_pylist()]
-            for start, end in _parts([4 * len(value) for value in lists]):
-                found = pa.array(codec.decode(lists[start:end]), pa.string())
-                part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, found], [*batch.schema.names, text])
+            at = batch.schema.names.index(ids)
+            for part in _parts(batch, pc.multiply(pc.list_value_length(batch.column(at)), 4)):
+                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(codec, part.column(at))], [*batch.schema.names, text])
+
+    return _with_columns(rows, {text: StringType()}, run)
+
+
+def round_trip(
+    docs: DataFrame, model_path: str, text: str = "text", ids: str = "token_ids", decoded: str = "decoded"
+) -> DataFrame:
+    """`docs` with what `encode` and then `decode` add, in one pass and one Python worker a
+    task, so that neither texts nor ids travel twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = load_codec(model_path)
+        for batch in batches:
+            at = batch.schema.names.index(text)
+            for part in _parts(batch, pc.binary_length(batch.column(at))):
+                tokens = _encoded(codec, part.column(at))
+                columns = [*part.columns, tokens, _decoded(codec, tokens)]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, ids, decoded])
 
-    return _with_column(rows, text, StringType(), run)
+    return _with_columns(docs, {ids: ArrayType(IntegerType()), decoded: StringType()}, run)

@@ -210,6 +210,9 @@ def test_sentencepiece(docs, nothing):
     sentencepiece.verify_parity(queries.PIECES, [r.text for r in docs.collect() if r.text])
     sentencepiece.verify_parity(queries.PIECES)
     coded = sentencepiece.decode(sentencepiece.encode(docs, queries.PIECES), queries.PIECES)
+    at_once = sentencepiece.round_trip(docs, queries.PIECES)
+    assert at_once.columns == coded.columns
+    assert sorted(at_once.collect(), key=repr) == sorted(coded.collect(), key=repr)
     assert all(r.decoded == (r.text or "") and (r.token_ids == []) == (not r.text) for r in coded.collect())
     assert sentencepiece.encode(nothing, queries.PIECES).count() == 0
 
