@@ -179,7 +179,8 @@ def _probe(forest: list[Tree], sizes: list[dict[int, int]], blocks: list[dict[in
 
 
 def _rerank(k: int):
-    """Rows sorted by block, its vectors before its queries -> the k best for each query."""
+    """Rows sorted by block, its vectors before its queries -> the k best other keys for each
+    query, with the best score of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
@@ -206,8 +207,13 @@ def _rerank(k: int):
                 for query_id, query in zip(own.tolist(), part, strict=True):
                     # Summed row by row, so that equal vectors get equal scores.
                     scores = (vectors * query).sum(axis=1) / (lengths * np.sqrt((query * query).sum()))
-                    best = np.lexsort((ids, -scores))[: k + 1]
-                    found += [(query_id, int(ids[i]), float(scores[i])) for i in best if ids[i] != query_id]
+                    best: dict[int, float] = {}
+                    for i in np.lexsort((ids, -scores)):
+                        if ids[i] != query_id:
+                            best.setdefault(int(ids[i]), float(scores[i]))
+                            if len(best) == k:
+                                break
+                    found += [(query_id, *one) for one in best.items()]
             kinds = (pa.int64(), pa.int64(), pa.float64())
             columns = [pa.array([row[i] for row in found], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
@@ -243,7 +249,8 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], empty)
     rows = rows.filter(F.size("vector") == usual.n)
     same = Window.partitionBy("vector").orderBy("id")
-    stored = rows.select("id", "vector").withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
+    # Repeated rows go first, or they would use up the places of other keys.
+    stored = rows.select("id", "vector").distinct().withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
     stored = materialize(stored.select("id", "vector"), "vectors")
 
     picked = stored.orderBy(F.xxhash64(F.lit(settings.seed), "id"), "id").limit(settings.sample).select("vector")

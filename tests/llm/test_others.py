@@ -95,6 +95,19 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.filter("vec_id < 3"), F.lit(True)).count() == 6
 
 
+def test_neighbours_of_repeated_rows(spark):
+    """Ten copies of a query, of a near row, and of one of several equal vectors, and a key with
+    ten vectors: repeated keys take one place each."""
+    near = [(i, [1.0, 0.01 * i, 0.0]) for i in range(7)]
+    equal = [(i, [0.0, 1.0, 0.5]) for i in range(7, 16)]
+    rows = [*near, *equal] + [near[0], near[1], equal[0]] * 9 + [(30, [0.001 * i, 0.001, 1.0]) for i in range(10)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(df, F.col("vec_id").isin(0, 15, 30)).collect()
+    found = {q: [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] for q in (0, 15, 30)}
+    assert found[0] == [1, 2, 3, 4, 5] and found[15] == [7, 8, 9, 10, 11]
+    assert found[30] == [7, 8, 9, 10, 11]
+
+
 def test_recall(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = df.select("vec_id", "embedding").toPandas()
