@@ -7,8 +7,10 @@ features of its format and of the text around it, and a threshold per kind, cali
 precision on candidates that the trees have not seen, selects the ones to add.
 
 There are no labels, so the trees learn from the base rules: candidates are positive that
-overlap a base span of their kind, or would be one in plain notation, and so are the same
-values rewritten in other notations; all other candidates are negative.
+overlap a base span of their kind, or would be one in plain notation. Forms that no base rule
+knows have rules of their own: IPv6 addresses that parse, and national phone numbers and
+emails in words ("jo at mail dot org") after a clue such as "call" or "write". Base values
+rewritten in all of these notations are positive too; all other candidates are negative.
 
 Everything on the rows is a column expression, trees included, so a document is one row
 from start to end and nothing is shuffled; only a bounded sample of candidates is gathered
@@ -60,6 +62,19 @@ GENERATOR_HINTS = {
     "card": r"[0-9](?:[\x20./-]{0,2}[0-9]){12}",
     "phone": r"[0-9](?:[\x20()./-]{0,3}[0-9]){6}",
 }
+# Whole IPv6 addresses, with a digit or three groups, as program text also has `a::b`.
+_GROUP = "[0-9A-Fa-f]{1,4}"
+_IPV6 = (
+    rf"^(?=.*[0-9]|:*(?:[^:]+:+){{2}}[^:])(?:(?:{_GROUP}:){{7}}{_GROUP}"
+    rf"|(?=.*::)(?!.*::.*::)(?!.*:::)(?!:[^:])(?:[0-9A-Fa-f]{{0,4}}:){{2,7}}{_GROUP})$"
+)
+# A dot in words, or an "at" in words with a bracketed dot: "us at example.org" may be a place.
+_WORDED = r"(?i)(?:@|[(\[]at[)\]]|\sat\s).*\sdot\s|\sat\s.*[(\[]dot[)\]]"
+# No national phone numbers: a country code, dates, IPv4.
+_NOT_NATIONAL = (
+    r"^(?:\+|00|(?:19|20)[0-9]{2}[./-][0-9]{1,2}[./-]|[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2}(?![0-9])"
+    r"|[0-9]{1,3}(?:\.[0-9]{1,3}){3}$)"
+)
 CONTEXT = 32
 CLUES = {
     "email": r"(?i)e-?mail|contact|write|schreib|courriel|correo",
@@ -159,6 +174,30 @@ def _plainly_valid(span: Column) -> Column:
     return valid
 
 
+def _notations(kind: Column, value: Column, before: Column, after: Column) -> dict[str, Column]:
+    """Whether a candidate stands alone in a notation that no base rule knows."""
+    alone = ~F.rlike(before, F.lit(r"[\p{L}0-9_]$")) & ~F.rlike(after, F.lit(r"^[\p{L}0-9_]"))
+    n = F.length(_digits(value))
+    grouped = n.between(10, 15) | (n.between(7, 9) & F.rlike(value, F.lit("[0-9][^0-9]+[0-9]")))
+    email = F.regexp_replace(F.regexp_replace(value, f"(?i){_AT}", "@"), f"(?i){_DOT}", ".")
+    address = F.rlike(email, F.lit(f"^(?:{BASE['email']})$")) & F.rlike(email, F.lit(r"\.[A-Za-z]{2,}$"))
+    return {
+        "worded": (kind == "email") & F.rlike(value, F.lit(_WORDED)) & address & alone,
+        "ipv6": (kind == "ip") & F.rlike(value, F.lit(_IPV6)) & alone,
+        "national": (kind == "phone") & grouped & ~F.rlike(value, F.lit(_NOT_NATIONAL)) & alone,
+    }
+
+
+def _clue(kind: Column, before: Column) -> Column:
+    return reduce(lambda rest, k: F.when(kind == k, F.rlike(before, F.lit(CLUES[k]))).otherwise(rest), KINDS, F.lit(False))
+
+
+def _valid_beyond_base(span: Column) -> Column:
+    """Whether a candidate in a notation that no base rule knows counts as positive."""
+    holds = _notations(span["kind"], span["value"], span["before"], span["after"])
+    return holds["ipv6"] | ((holds["worded"] | holds["national"]) & _clue(span["kind"], span["before"]))
+
+
 def features(kind: Column, value: Column, before: Column, after: Column) -> dict[str, Column]:
     """Numbers that describe a candidate's format and context."""
 
@@ -169,7 +208,6 @@ def features(kind: Column, value: Column, before: Column, after: Column) -> dict
         return F.coalesce(condition, F.lit(False)).cast("int")
 
     digits = _digits(value)
-    clue = reduce(lambda rest, k: F.when(kind == k, F.rlike(before, F.lit(CLUES[k]))).otherwise(rest), KINDS, F.lit(False))
     found = {
         **{f"is_{k}": flag(kind == k) for k in KINDS},
         "length": F.length(value),
@@ -189,7 +227,8 @@ def features(kind: Column, value: Column, before: Column, after: Column) -> dict
         "joined_before": flag(F.rlike(before, F.lit(r"[\p{L}0-9_=\"/]$"))),
         "joined_after": flag(F.rlike(after, F.lit(r"^[\p{L}0-9_=\"/]"))),
         "digits_around": count("[0-9]", F.concat(before, after)),
-        "clue": flag(clue),
+        "clue": flag(_clue(kind, before)),
+        **{name: flag(holds) for name, holds in _notations(kind, value, before, after).items()},
     }
     return {name: number.cast("double") for name, number in found.items()}
 
@@ -222,6 +261,40 @@ def _spans_of(docs: DataFrame, carried: Column, name: str) -> DataFrame:
     return rows.select(name, "content", *[F.concat(*parts).alias(group) for group, parts in results.items()])
 
 
+def _rewritten() -> Column:
+    """A positive candidate as it is, in `own`, and in other notations: (new, value, before),
+    new ones being those that no base rule knows, behind a clue if they need one."""
+    kind, value = F.col("kind"), F.col("value")
+
+    def form(text: Column, clue: str = "", new: bool = False) -> Column:
+        return F.struct(F.lit(new).alias("new"), text.alias("value"), F.concat("before", F.lit(clue)).alias("before"))
+
+    spelled = F.regexp_replace(F.regexp_replace(value, "@", " (at) "), r"\.", " (dot) ")
+    bracketed = F.regexp_replace(F.regexp_replace(value, "@", "[at]"), r"\.", "[dot]")
+    host = F.regexp_replace(F.substring_index(value, "@", -1), r"\.", " dot ")
+    worded = F.concat(F.substring_index(value, "@", 1), F.lit(" at "), host)
+    parts = F.split(F.regexp_replace(value, r"\s", ""), r"\.")
+    pairs = [F.lower(F.hex(F.get(parts, i).try_cast("bigint") * 256 + F.get(parts, i + 1).try_cast("bigint"))) for i in (0, 2)]
+    national = F.regexp_replace(value, r"^\+[0-9]{1,2}[\x20.-]*", "")
+    return (
+        F.when(kind == "email", F.array("own", form(spelled), form(bracketed), form(worded, " write to ", True)))
+        .when(
+            kind == "phone",
+            F.array("own", form(F.regexp_replace(value, r"^\+", "00")), form(national, " call ", True)),
+        )
+        .when(kind == "card", F.array("own", form(F.regexp_replace(value, "[^0-9]", "."))))
+        .when(
+            (kind == "ip") & (F.size(parts) == 4),
+            F.array(
+                "own",
+                form(F.concat_ws(":", F.lit("2001:db8::ffff"), *pairs), " ", True),
+                form(F.concat_ws(":", F.lit("2001:db8:0:0:0:ffff"), *pairs), " ", True),
+            ),
+        )
+        .otherwise(F.array("own"))
+    )
+
+
 def _training_rows(docs: DataFrame, training: Training) -> DataFrame:
     """A bounded sample of candidates with features, label and fold: a written table.
 
@@ -232,20 +305,14 @@ def _training_rows(docs: DataFrame, training: Training) -> DataFrame:
     order = F.xxhash64(F.lit(training.seed), "doc_id", "c.kind", "c.start", "c.value")
     sample = spans.select("doc_id", "base", one).withColumn("order", order)
     label = F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & _overlap(b, F.col("c")))
-    label = label | _plainly_valid(F.col("c"))
-    sample = sample.select("order", "c.*", label.alias("label")).orderBy("order", "value", "start").limit(training.candidates)
-
-    value = F.col("value")
-    spelled = F.regexp_replace(F.regexp_replace(value, "@", " (at) "), r"\.", " (dot) ")
-    bracketed = F.regexp_replace(F.regexp_replace(value, "@", "[at]"), r"\.", "[dot]")
-    rewritten = (
-        F.when(F.col("kind") == "email", F.array(value, spelled, bracketed))
-        .when(F.col("kind") == "phone", F.array(value, F.regexp_replace(value, r"^\+", "00")))
-        .when(F.col("kind") == "card", F.array(value, F.regexp_replace(value, "[^0-9]", ".")))
-        .otherwise(F.array(value))
-    )
-    rows = sample.withColumn("value", F.explode(F.when(F.col("label"), rewritten).otherwise(F.array(value))))
-    numbers = features(F.col("kind"), F.col("value"), F.col("before"), F.col("after"))
+    plain = label | _plainly_valid(F.col("c"))
+    sample = sample.select("order", "c.*", plain.alias("plain"), (plain | _valid_beyond_base(F.col("c"))).alias("label")).orderBy("order", "value", "start").limit(training.candidates)
+
+    sample = sample.withColumn("own", F.struct(F.lit(False).alias("new"), "value", "before"))
+    rows = sample.withColumn("as", F.explode(F.when(F.col("plain"), _rewritten()).otherwise(F.array("own"))))
+    numbers = features(F.col("kind"), F.col("as.value"), F.col("as.before"), F.col("after"))
+    whole = reduce(lambda a, b: a | b, _notations(F.col("kind"), F.col("as.value"), F.col("as.before"), F.col("after")).values())
+    rows = rows.filter(~F.col("as.new") | whole)
     fold = F.pmod("order", F.lit(2)).alias("fold")
     return materialize(
         rows.select("kind", F.col("label").cast("double").alias("label"), fold, *[c.alias(n) for n, c in numbers.items()]), "pii"

@@ -128,6 +128,17 @@ def test_trained_spans_keep_the_base(spark):
     assert [r.s for r in found if r.doc_id == 120] == ["email:6:42"]
 
 
+def test_notations_beyond_the_base_are_added(spark):
+    """IPv6, national phone numbers and emails in words, none of which a base rule knows."""
+    texts = [f"write to u{i}.x@host{i}.org now" if i % 2 else f"see {i}.1.2.3 or call +1 555 {1000000 + i}" for i in range(60)]
+    texts += [f"numbers {10**15 + 7 * i} and at 10:{10 + i % 50}:30 or {5550000000 + 7919 * i} pm" for i in range(60)]
+    new = ["host 2001:db8::8a2e:370:7334 up", "host dead:beef::cafe, fe80:0:0:0:1:2:3:4.", "call (555) 123-4567 now", "write to jo at mail dot org soon"]
+    rows = spark.createDataFrame(list(enumerate(texts + new)), "doc_id bigint, text string")
+    found = {r.doc_id: r.s for r in pii.detect(rows).select("doc_id", pii.written(F.col("spans")).alias("s")).collect()}
+    assert [found[120 + i] for i in range(4)] == ["ip:5:28", "ip:5:20,ip:22:40", "phone:5:19", "email:9:27"]
+    assert all(found[i] == _base(texts[i]) for i in range(120))
+
+
 def test_redaction(docs, nothing):
     clean = pii.redact(docs)
     assert clean.columns == docs.columns and clean.count() == docs.count()
