@@ -4,7 +4,7 @@ Base patterns with their checks find the plain forms, and these spans always sta
 them, generators of high recall propose further spans, which may overlap: numbers in other
 notations, IPv6 addresses, emails written with (at) and (dot). Boosted trees judge each by
 features of its format and of the text around it, and a threshold per kind, calibrated for
-precision on candidates that the trees have not seen, selects the ones to add.
+precision on all candidates of the texts that the trees have not seen, selects the ones to add.
 
 There are no labels, so the trees learn from the base rules: candidates are positive that
 overlap a base span of their kind, or would be one in plain notation. Forms that no base rule
@@ -13,8 +13,8 @@ emails in words ("jo at mail dot org") after a clue such as "call" or "write". B
 rewritten in all of these notations are positive too; all other candidates are negative.
 
 Everything on the rows is a column expression, trees included, so a document is one row
-from start to end and nothing is shuffled; only a bounded sample of candidates is gathered
-to train on. Positions count code points.
+from start to end and texts are not shuffled; only a bounded sample of candidates of each
+kind is gathered to train on. Positions count code points.
 """
 
 from __future__ import annotations
@@ -25,12 +25,13 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orestrata.sources.scratch import materialize
 
 KINDS = ("email", "ip", "card", "phone")
+_PLACE_SEED = 29
 
 # The base patterns. Possessive quantifiers and the look behind change no
 # match; they spare retries, and recursion on long runs.
@@ -86,7 +87,7 @@ CLUES = {
 
 @dataclass(frozen=True)
 class Training:
-    """`candidates`: sampled at most, half to train on and half to calibrate with.
+    """`candidates`: of each kind, sampled at most to train on, from half of the texts.
     `precision`: share of base-like spans among those a threshold lets through."""
 
     candidates: int = 8_000
@@ -295,28 +296,44 @@ def _rewritten() -> Column:
     )
 
 
+# The sample of a kind is drawn in so many parts, so that no task gathers all of it.
+_PARTS = 64
+
+
+def _with_place(docs: DataFrame) -> DataFrame:
+    """Texts with a hash that equal texts share, so that they are all trained on or none."""
+    return docs.select("text", F.xxhash64(F.lit(_PLACE_SEED), F.coalesce("text", F.lit(""))).alias("place"))
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    """One row per candidate of texts with a place: place, the span's columns, whether it is
+    `plain`, as by the base rules, and its `label`."""
+    spans = _spans_of(docs, F.col("place"), "place").select("place", "base", F.explode("candidates").alias("c"))
+    base = F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & _overlap(b, F.col("c")))
+    plain = base | _plainly_valid(F.col("c"))
+    return spans.select("place", "c.*", plain.alias("plain"), (plain | _valid_beyond_base(F.col("c"))).alias("label"))
+
+
 def _training_rows(docs: DataFrame, training: Training) -> DataFrame:
-    """A bounded sample of candidates with features, label and fold: a written table.
+    """A bounded sample of the candidates of each kind with features and label: a written table.
 
-    The candidates with the smallest hashes of document and position are taken.
+    Texts of even places are drawn from, and there the candidates with the smallest hashes of
+    text and position in each part of a kind; of equal texts one.
     """
-    spans = _spans_of(docs, F.col("doc_id"), "doc_id")
-    one = F.explode("candidates").alias("c")
-    order = F.xxhash64(F.lit(training.seed), "doc_id", "c.kind", "c.start", "c.value")
-    sample = spans.select("doc_id", "base", one).withColumn("order", order)
-    label = F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & _overlap(b, F.col("c")))
-    plain = label | _plainly_valid(F.col("c"))
-    sample = sample.select("order", "c.*", plain.alias("plain"), (plain | _valid_beyond_base(F.col("c"))).alias("label")).orderBy("order", "value", "start").limit(training.candidates)
+    sample = _labelled(_with_place(docs).filter("place % 2 = 0"))
+    order = F.xxhash64(F.lit(training.seed), "place", "kind", "start", "value")
+    sample = sample.withColumn("order", order).withColumn("part", F.pmod("order", F.lit(_PARTS)))
+    first = F.row_number().over(Window.partitionBy("kind", "part").orderBy("order", "value", "start"))
+    sample = sample.dropDuplicates(["place", "kind", "start", "value"]).withColumn("first", first)
+    sample = sample.filter(F.col("first") <= max(1, training.candidates // _PARTS))
 
     sample = sample.withColumn("own", F.struct(F.lit(False).alias("new"), "value", "before"))
     rows = sample.withColumn("as", F.explode(F.when(F.col("plain"), _rewritten()).otherwise(F.array("own"))))
     numbers = features(F.col("kind"), F.col("as.value"), F.col("as.before"), F.col("after"))
     whole = reduce(lambda a, b: a | b, _notations(F.col("kind"), F.col("as.value"), F.col("as.before"), F.col("after")).values())
     rows = rows.filter(~F.col("as.new") | whole)
-    fold = F.pmod("order", F.lit(2)).alias("fold")
-    return materialize(
-        rows.select("kind", F.col("label").cast("double").alias("label"), fold, *[c.alias(n) for n, c in numbers.items()]), "pii"
-    )
+    label = F.col("label").cast("double").alias("label")
+    return materialize(rows.select("place", "kind", label, *[c.alias(n) for n, c in numbers.items()]), "pii")
 
 
 def _splits(node, names: Sequence[str]):
@@ -344,20 +361,24 @@ def score(trees: Sequence[tuple[float, object]], numbers: dict[str, Column]) ->
 def train(docs: DataFrame, training: Training = Training()) -> Detector | None:
     """A detector from the documents themselves; None if they hold no example of one class."""
     rows = _training_rows(docs, training)
-    names = [c for c in rows.columns if c not in ("kind", "label", "fold")]
-    seen = {(r.fold, r.label) for r in rows.select("fold", "label").distinct().collect()}
-    if len(seen) < 4:
+    names = [c for c in rows.columns if c not in ("place", "kind", "label")]
+    if rows.select("label").distinct().count() < 2:
         return None
-    gathered = VectorAssembler(inputCols=names, outputCol="features").transform(rows.filter("fold = 0"))
+    gathered = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
     learner = GBTClassifier(maxIter=training.trees, maxDepth=training.depth, seed=training.seed, maxBins=32)
-    model: GBTClassificationModel = learner.fit(gathered.coalesce(1))
+    # In one order, as the splits tried depend on it.
+    model: GBTClassificationModel = learner.fit(gathered.coalesce(1).sortWithinPartitions("place", "kind", *names))
     trees = tuple(
         (weight, _splits(tree._java_obj.rootNode(), names)) for weight, tree in zip(model.treeWeights, model.trees, strict=True)
     )
-    numbers = {n: F.col(n) for n in names}
-    held_out = rows.filter("fold = 1").select("kind", "label", F.round(score(trees, numbers), 3).alias("score"))
+    # All texts but those drawn from, which are bounded by the sample.
+    drawn = F.broadcast(rows.select("place").distinct())
+    held_out = _labelled(_with_place(docs).join(drawn, "place", "left_anti"))
+    numbers = features(*map(F.col, ("kind", "value", "before", "after")))
+    held_out = held_out.select("kind", F.col("label").cast("int").alias("label"), *[c.alias(n) for n, c in numbers.items()])
+    scored = held_out.select("kind", "label", F.round(score(trees, {n: F.col(n) for n in names}), 3).alias("score"))
     # At most a thousand scores per kind reach the driver.
-    counts = held_out.groupBy("kind", "score").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
+    counts = scored.groupBy("kind", "score").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
     thresholds = {}
     for kind in KINDS:
         good = total = 0

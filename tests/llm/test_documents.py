@@ -139,6 +139,19 @@ def test_notations_beyond_the_base_are_added(spark):
     assert all(found[i] == _base(texts[i]) for i in range(120))
 
 
+def test_rare_kinds_have_a_threshold(spark):
+    """A source full of numbers leaves the other kinds their sample and their threshold, which
+    counts the candidates of all texts that were not drawn from."""
+    texts = [f"write to u{i}.x@host{i}.org now" if i % 2 else f"see {i}.1.2.3 or call +1 555 {1000000 + i}" for i in range(80)]
+    texts += [" and ".join(str(10**15 + 7919 * (i * 20 + j)) for j in range(20)) for i in range(400)]
+    texts += ["reach jo (at) mail (dot) example (dot) org soon", None, None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    training = pii.Training(candidates=64)
+    assert {"email", "ip", "phone"} <= set(pii.train(rows, training).thresholds)
+    found = pii.detect(rows, training).filter("doc_id = 480").select(pii.written(F.col("spans"))).collect()
+    assert found[0][0] == "email:6:42"
+
+
 def test_redaction(docs, nothing):
     clean = pii.redact(docs)
     assert clean.columns == docs.columns and clean.count() == docs.count()
