@@ -49,8 +49,8 @@ GENERATORS = {
     "card": r"(?<![0-9])[0-9](?:[\x20./-]{0,2}[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9+])(?:\+|00)?\(?[0-9](?:[\x20()./-]{0,3}[0-9]){6,14}(?![0-9])",
 }
-# What a text must hold to match a pattern: quick to look for, and rare. The digits of all
-# but emails are looked for first.
+# What a text must hold to match a pattern: quick to look for, and rare. Where a match has
+# digits, they are looked for first: not in emails, nor in IPv6 addresses.
 BASE_HINTS = {
     "email": "@",
     "ip": r"[0-9]\.[0-9]",
@@ -58,7 +58,7 @@ BASE_HINTS = {
     "phone": r"\+[0-9]",
 }
 GENERATOR_HINTS = {
-    "email": r"(?i)@|[(\[]at[)\]]|\sat\s+[\p{L}0-9-]+(?:\.[\p{L}0-9]|\s?[(\[]?dot)",
+    "email": r"(?i)@|[(\[]at[)\]]|\sat\s+[\p{L}0-9-]+(?:\.[\p{L}0-9-]|\s*[(\[]?dot)",
     "ip": r"[0-9]\x20?\.\x20?[0-9]|:[0-9A-Fa-f]{0,4}:",
     "card": r"[0-9](?:[\x20./-]{0,2}[0-9]){12}",
     "phone": r"[0-9](?:[\x20()./-]{0,3}[0-9]){6}",
@@ -253,7 +253,9 @@ def _spans_of(docs: DataFrame, carried: Column, name: str) -> DataFrame:
     values, pieces, results = {}, {}, {"base": [], "candidates": []}
     for (group, kind), (pattern, hint) in patterns.items():
         column = f"{group}_{kind}"
-        hinted = F.rlike(text, F.lit(hint)) if kind == "email" else digit & F.rlike(text, F.lit(hint))
+        hinted = F.rlike(text, F.lit(hint))
+        if kind != "email" and column != "candidates_ip":
+            hinted = digit & hinted
         values[column] = F.when(hinted, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
         pieces[f"{column}_cut"] = F.when(F.size(column) > 0, F.split(text, pattern, -1))
         found = spans(kind, F.col(column), F.col(f"{column}_cut"))

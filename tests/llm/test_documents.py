@@ -1,6 +1,7 @@
 """Operators on documents against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -152,6 +153,30 @@ def test_rare_kinds_have_a_threshold(spark):
     assert found[0][0] == "email:6:42"
 
 
+def test_hints_miss_no_match(spark):
+    """Strings drawn from each pattern are found without any other text."""
+    random.seed(7)
+    pick = lambda *options: random.choice(options)
+    name = lambda: "".join(random.choices("abé-x", k=random.randint(1, 5)))
+    at = lambda: pick("@", " @ ", "(at)", " [AT] ", " at ", "\n at  ")
+    dot = lambda: pick(".", "(dot)", " [dot] ", " dot ", "  dot\n", "\n  DOT ")
+    group = lambda: "".join(random.choices("abcdefABCDEF", k=random.randint(0, 4)))
+    digits = lambda n, signs: "".join(pick("", *signs) + pick(*"0123456789") for _ in range(n))
+    texts = ["dead:beef::cafe", "jo at mail  dot org", "jo at mail dot\n  org", "jo at a.-b"]
+    for _ in range(150):
+        texts.append(name() + at() + name() + "".join(dot() + name() for _ in range(random.randint(1, 3))))
+        texts.append(":".join(group() for _ in range(random.randint(2, 7))) + ":a")
+        texts.append(pick(".", " . ", " .").join(digits(random.randint(1, 3), "") for _ in range(4)))
+        texts.append(digits(random.randint(13, 19), [" ", "--", "./"]))
+        texts.append(pick("", "+", "00", "(") + digits(random.randint(7, 15), [" ", "(", ") -"]))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: Counter((s.kind, s.value) for s in r.candidates) for r in pii._spans_of(rows, F.col("doc_id"), "doc_id").collect()}
+    want = rows.select("doc_id", *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, p in pii.GENERATORS.items()])
+    for r in want.collect():
+        assert found[r.doc_id] == Counter((k, v) for k in pii.KINDS for v in r[k])
+    assert all(found[i] for i in range(4))
+
+
 def test_redaction(docs, nothing):
     clean = pii.redact(docs)
     assert clean.columns == docs.columns and clean.count() == docs.count()
