@@ -29,8 +29,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group: the one with the smallest doc_id; of repeated rows one."""
     docs = docs.select(*COLUMNS)
     judged = near_dedup.near_duplicates(docs)
-    dropped = judged.filter(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
+    out = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("out_id"), "text_hash").distinct()
+    kept = docs.join(out, (F.col("doc_id") == F.col("out_id")) & (F.xxhash64("text") == F.col("text_hash")), "left_anti")
     return kept.dropDuplicates(["doc_id", "text"])
 
 

@@ -97,7 +97,7 @@ def _set_id(elements: np.ndarray) -> int:
     return int.from_bytes(blake2b(elements.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-_FEATURES = "doc_id bigint, n_shingles bigint, set_id bigint, bands array<bigint>, signature binary"
+_FEATURES = "doc_id bigint, text_hash bigint, n_shingles bigint, set_id bigint, bands array<bigint>, signature binary"
 
 
 def _featurize(length: int, banding: Banding):
@@ -105,22 +105,24 @@ def _featurize(length: int, banding: Banding):
         hashes = WordHashes()
         for batch in batches:
             for first, words, counts in word_slices(batch.column("text"), hashes):
-                yield features(batch.column("doc_id").slice(first, len(counts)), shingle_sets(words, counts, length))
+                own = batch.select(["doc_id", "text_hash"]).slice(first, len(counts))
+                yield features(own, shingle_sets(words, counts, length))
 
-    def features(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+    def features(own: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
         sizes = np.array([len(s) for s in sets])
         signatures = superminhash(np.concatenate(sets), sizes, banding.places)
         bands = band_hashes(signatures, banding).view(np.int64)
         short = signatures.astype(np.uint8)
         empty = sizes == 0
         columns = [
-            ids.cast(pa.int64()),
+            own.column("doc_id").cast(pa.int64()),
+            own.column("text_hash"),
             pa.array(sizes, pa.int64()),
             pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
             pa.array([None if none else row for none, row in zip(empty, bands, strict=True)], pa.list_(pa.int64())),
             pa.array([None if none else row.tobytes() for none, row in zip(empty, short, strict=True)], pa.binary()),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_id", "bands", "signature"])
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "set_id", "bands", "signature"])
 
     return run
 
@@ -176,7 +178,7 @@ def by_set(percent: int) -> Kernel:
 def near_duplicates(
     docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, banding: Banding = Banding()
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, text_hash (xxhash64), n_shingles, component_id, kept.
 
     Two documents are linked when 100 x the size of the intersection of their shingle sets
     is at least `percent` x that of the union. `component_id` is the smallest doc_id that
@@ -190,7 +192,7 @@ def near_duplicates(
 
     Writes to the shared folder.
     """
-    slim = docs.select("doc_id", "text")
+    slim = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     features = materialize(slim.mapInArrow(_featurize(shingle_words, banding), _FEATURES), "features")
     known = features.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
     classes = known.groupBy(F.col("set_id").alias("id")).agg(
@@ -214,8 +216,8 @@ def near_duplicates(
     labels = classes.select("id", "doc_id").join(exact, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least_id = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = labels.join(least_id, "component").select(F.col("id").alias("set_id"), "component_id")
-    result = features.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
+    result = features.select("doc_id", "text_hash", "n_shingles", "set_id").join(named, "set_id", "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
-    return result.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return result.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )

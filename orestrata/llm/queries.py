@@ -117,7 +117,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85).drop("text_hash")
 
 
 URL_RULES = (

@@ -134,3 +134,12 @@ def test_pipeline(spark):
         start = spark.createDataFrame(after.collect(), docs.schema)
     last = corpus_pipeline.encode_pieces(spark, start, SF_DIR)
     assert last.count() == start.count() and last.filter("n_tokens <> size(token_ids)").isEmpty()
+
+
+def test_near_copies_are_dropped_by_text(spark):
+    """A repeated doc_id loses the text that is a near copy, not its other text."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "more"])), (2, "a clean text of its own that nothing else is like"), (2, None), (None, "one")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(str(r) for r in docs.select("doc_id", "text").collect() if r.text != rows[1][1])
