@@ -7,9 +7,9 @@
    similarity may reach the threshold are linked into families.
 3. Within each family the full sets are compared, exactly. These links make the components.
 
-Only a pair that shares no band, or whose estimate is off by 4.5 standard deviations, could
-be missed: about one in a million of pairs at the threshold, fewer above it, and only where
-no third document connects the two.
+Only a pair that shares no band, or whose estimate is far off, could be missed: bands and
+the least estimate are chosen by the threshold so that at most one in a million of pairs at
+it is, fewer above it, and only where no third document connects the two.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from math import ceil, exp, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,11 @@ from orestrata.sources.scratch import materialize
 # Members of a cell compared by signature (fixed size), and by set (of any size).
 SIGNATURE_CELL = 4096
 SET_CELL = 1024
+# Signature places, rows of a band at most, and which share of the pairs at the threshold at
+# most may share no band, or have too low an estimate.
+PLACES = 192
+LONGEST_BAND = 6
+MISSES = 5e-7
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _WORD = (1 << 64) - 1
@@ -39,14 +45,37 @@ _WORD = (1 << 64) - 1
 class Banding:
     """`bands` bands of `rows` signature places each."""
 
-    bands: int = 32
-    rows: int = 6
+    bands: int
+    rows: int
 
     @property
     def places(self) -> int:
         return self.bands * self.rows
 
 
+def banding_for(percent: int) -> Banding:
+    """The longest bands of PLACES places that miss at most MISSES of the pairs at the
+    threshold; if none do, as many places as one row a band takes."""
+    level = percent / 100
+    for rows in range(LONGEST_BAND, 0, -1):
+        if (1 - level**rows) ** (PLACES // rows) <= MISSES:
+            return Banding(PLACES // rows, rows)
+    return Banding(ceil(log(MISSES) / log1p(-level)), 1)
+
+
+def least_estimate(percent: int, places: int) -> float:
+    """The highest share of equal places that at most MISSES of the pairs at the threshold fall
+    short of, places being independent; those of SuperMinHash vary less."""
+    if percent >= 100:
+        return 1.0
+    level, below, equal = percent / 100, 0.0, -1
+    while below <= MISSES:
+        equal += 1
+        ways = lgamma(places + 1) - lgamma(equal + 1) - lgamma(places - equal + 1)
+        below += exp(ways + equal * log(level) + (places - equal) * log1p(-level))
+    return (equal - 0.5) / places if equal else 0.0
+
+
 def superminhash(elements: np.ndarray, counts: np.ndarray, places: int) -> np.ndarray:
     """SuperMinHash signatures of sets that lie in a line: one row of `places` per set.
 
@@ -176,7 +205,7 @@ def by_set(percent: int) -> Kernel:
 
 
 def near_duplicates(
-    docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, banding: Banding = Banding()
+    docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, banding: Banding | None = None
 ) -> DataFrame:
     """One row per document: doc_id, text_hash (xxhash64), n_shingles, component_id, kept.
 
@@ -192,6 +221,7 @@ def near_duplicates(
 
     Writes to the shared folder.
     """
+    banding = banding or banding_for(percent)
     slim = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     features = materialize(slim.mapInArrow(_featurize(shingle_words, banding), _FEATURES), "features")
     known = features.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
@@ -200,10 +230,8 @@ def near_duplicates(
     )
     classes = materialize(classes, "classes")
 
-    level = percent / 100
-    least = level - 4.5 * (level * (1 - level) / banding.places) ** 0.5
     buckets = classes.select(F.explode("bands").alias("group"), "id")
-    similar = spanning_links(buckets, classes.select("id", "payload"), by_signature(least), SIGNATURE_CELL)
+    similar = spanning_links(buckets, classes.select("id", "payload"), by_signature(least_estimate(percent, banding.places)), SIGNATURE_CELL)
     family = materialize(components(similar), "families")
     roots = family.select(F.col("component").alias("group"), F.col("component").alias("id")).distinct()
     members = family.select(F.col("component").alias("group"), "id").unionAll(roots)

@@ -1,6 +1,7 @@
 """Operators on documents against brute force."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -53,6 +54,20 @@ def test_near_duplicates(docs, k, percent):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == want
 
 
+def test_bands_miss_less_than_one_in_a_million(spark, monkeypatch):
+    """At each threshold, by the bands that near_duplicates makes and by its least estimate."""
+    for percent in (30, 50, 70, 80, 85, 90, 95):
+        made = []
+        monkeypatch.setattr(near_dedup, "_featurize", lambda length, banding: made.append(banding) or (lambda batches: batches))
+        monkeypatch.setattr(near_dedup, "by_signature", lambda least: made.append(least) or 1 / 0)
+        monkeypatch.setattr(near_dedup, "materialize", lambda rows, name: rows)
+        with pytest.raises(ZeroDivisionError):
+            near_dedup.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string"), percent=percent)
+        (banding, least), level, n = made, percent / 100, made[0].places
+        below = sum(math.comb(n, i) * level**i * (1 - level) ** (n - i) for i in range(math.ceil(least * n)))
+        assert (1 - level**banding.rows) ** banding.bands + below < 1e-6
+
+
 def test_large_groups_lose_no_link(spark):
     """Groups far larger than a cell: the links are those of comparing all pairs."""
     values = [(g, g * 1000 + i, bytes([(i * 37) % 250])) for g in range(2) for i in range(120)]
