@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestrata.llm import chat, classify, fingerprints, mixing, near_dedup, neighbours, pii, sentencepiece, token_counts, urls
+from orestrata.llm import (
+    chat,
+    classify,
+    conversation_trie,
+    fingerprints,
+    hard_negatives,
+    main_text,
+    mixing,
+    near_dedup,
+    neighbours,
+    pii,
+    sentencepiece,
+    token_counts,
+    urls,
+)
 from orestrata.sources.scratch import materialize, scratch_path
 from orestrata.sources.tables import read_table
 
@@ -138,6 +152,39 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = main_text.extract_main_text(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+# Conversations in a row that open with the turns of their first, and how many turns at most.
+OPENING_EVERY, OPENING_TURNS = 100, 5
+
+
+def shared_openings(turns: DataFrame) -> DataFrame:
+    """Each conversation c rebuilt: the first crc32(c) % 6 turns of the conversation that its
+    hundred starts with, then its own turns after as many. conv_id, path."""
+    own = materialize(conversation_trie.turn_paths(turns), "paths")
+    start = F.col("conv_id") - F.col("conv_id") % OPENING_EVERY
+    taken = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % (OPENING_TURNS + 1)).cast("int")
+    openings = own.filter(F.col("conv_id") % OPENING_EVERY == 0).select(
+        F.col("conv_id").alias("start"), conversation_trie.first_turns(F.col("path"), F.lit(OPENING_TURNS)).alias("opening")
+    )
+    both = own.withColumn("start", start).join(openings, "start", "left")
+    opening = F.coalesce("opening", F.lit(b""))
+    path = F.concat(conversation_trie.first_turns(opening, taken), conversation_trie.without_first_turns(F.col("path"), taken))
+    return both.select("conv_id", path.alias("path"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(shared_openings(table(spark, sf_dir, "conversations")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -150,6 +197,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": op8_near_dedup,
         "op9_urls": op9_urls,
         "op10_neighbours": op10_neighbours,
+        "op11_main_text": op11_main_text,
+        "op12_conversation_trie": op12_conversation_trie,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -157,6 +207,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _CONTROL = r"<\\*(?:\|[A-Za-z0-9_]+\|>|/?s>|/?SYS>|pad>|unk>)|\[\\*/?(?:INST|SYSTEM_PROMPT|AVAILABLE_TOOLS|TOOL_CALLS|TOOL_RESULTS)\]"
 
 
+# CRC-32 of a decimal id, bit by bit: 256 and more brings in a byte, 0 shifts by one bit.
+_CRC = """xor(list_reduce(
+                           list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                               lambda c: [256 + ascii(c), 0, 0, 0, 0, 0, 0, 0, 0]))),
+                           lambda c, x: CASE WHEN x >= 256 THEN xor(c, x - 256) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END
+                       ), 4294967295)"""
+
+
 def _general_sql() -> str:
     words = "|".join(rule.name for rule in urls.GENERAL)
     return f"regexp_matches(host || path, '(?:^|[^A-Za-z0-9])(?:{words})(?:$|[^A-Za-z0-9])')"
@@ -200,4 +258,73 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
                         WHEN {_general_sql()} THEN 'block' ELSE 'allow' END AS verdict
             FROM ruled""",
+        # In the given pages the one article element is the main text, and its tags are few.
+        "op11_main_text": r"""
+            WITH cut AS (
+                SELECT page_id, url, regexp_extract(html, '<article>(.*)</article>', 1, 's') AS body FROM pages
+            ), bare AS (
+                SELECT page_id, url,
+                       regexp_replace(regexp_replace(body, '</?(?:p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS body
+                FROM cut
+            ), decoded AS (
+                SELECT page_id, url,
+                       regexp_replace(replace(replace(replace(replace(body, '&quot;', '"'), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'),
+                           '&amp;?', '&', 'g') AS body
+                FROM bare
+            ), told AS (
+                SELECT page_id, url, trim(regexp_replace(coalesce(body, ''), '\s+', ' ', 'g')) AS text FROM decoded
+            )
+            SELECT page_id, url, text, length(text) AS n_chars FROM told""",
+        "op12_conversation_trie": f"""
+            WITH turns AS (
+                SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+            ), listed AS (
+                SELECT conv_id, list({{'hash': sha256(length(role) || ':' || role || text), 'size': length(text)}}
+                           ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS own,
+                       {_CRC} % 6 AS taken
+                FROM turns GROUP BY conv_id
+            ), rebuilt AS (
+                SELECT c.conv_id,
+                       list_concat(coalesce(s.own, [])[1:c.taken], c.own[c.taken + 1:]) AS path
+                FROM listed c LEFT JOIN listed s ON s.conv_id = c.conv_id - c.conv_id % 100
+            ), reached AS (
+                SELECT conv_id, len(path) AS turns, d AS depth, path[1:d] AS node, CASE WHEN d > 0 THEN path[d].size END AS size
+                FROM rebuilt, LATERAL (SELECT unnest(range(0, len(path) + 1)) AS d)
+            ), nodes AS (
+                SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size,
+                       sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE turns = depth), ''))
+                           AS ends_sha256
+                FROM reached GROUP BY node, depth
+            ), families AS (
+                SELECT n.*, p.conv_id AS parent_conv_id,
+                       (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.node[1:n.depth] = n.node) AS n_children
+                FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1] AND n.depth > 0
+            )
+            SELECT n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children,
+                   count(*) FILTER (WHERE b.n_children = 0) AS n_leaves,
+                   CAST(coalesce(sum((b.n_convs - 1) * b.size), 0) AS BIGINT) AS saved_tokens,
+                   n.ends_sha256
+            FROM families n JOIN families b ON b.depth >= n.depth AND b.node[1:n.depth] = n.node
+            GROUP BY n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, n.ends_sha256""",
+        "op13_hard_negatives": """
+            WITH rows AS (
+                SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                       list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                FROM embeddings
+                WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            ), scored AS (
+                SELECT a.vec_id AS anchor_id, r.vec_id AS id, r.label = a.label AS same,
+                       CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(r.v AS DOUBLE[])) AS BIGINT) AS score
+                FROM rows a JOIN rows r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+            ), positives AS (
+                SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+            )
+            SELECT anchor_id, positive_id,
+                   CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+                   s.id AS negative_id, positive_score, s.score AS negative_score
+            FROM positives JOIN scored s USING (anchor_id)
+            WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+            QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) <= 10""",
     }
