@@ -10,15 +10,18 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from decimal import Decimal
 from pathlib import Path
 from uuid import uuid4
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orestrata.functions.dates import as_timestamps
+from orestrata.functions.rounding import rounded_average
 from orestrata.operators import dedup
 from orestrata.operators.joins import left_fan_out, left_lookup
 from orestrata.operators.ntile import with_ntiles
@@ -28,13 +31,12 @@ from orestrata.sources import files, tables
 from orestrata.sources.registry import only
 from orestrata.sources.scratch import scratch_path
 
-# The training-data operators are a subpackage that the rest works without.
+# The training-data operators are a subpackage that the rest works without, be it that the
+# subpackage is missing or a library that it needs.
 try:
     import corpus_pipeline
     from orestrata.llm import queries as llm
-except ModuleNotFoundError as error:
-    if (error.name or "").split(".")[-1] not in ("corpus_pipeline", "llm", "queries"):
-        raise
+except ModuleNotFoundError:
     llm = None
 
 EXCLUDED = "F"
@@ -449,6 +451,42 @@ def table_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def table_swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that a write replaces after another write has failed half-way: its rows by name
+    and by path after the failure, and by name after the swap."""
+    path, name = scratch_path(spark, "orders"), f"default.orders_{uuid4().hex}"
+    orders = _given(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    tables.publish(orders, path, name=name)
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    breaks = F.when(F.col("o_orderkey") == last, F.raise_error("fails at the last order").cast("double"))
+    try:
+        tables.publish(orders.withColumn("o_totalprice", F.coalesce(breaks, F.lit(0.0))), path, name=name)
+    except PySparkException as error:
+        if "fails at the last order" not in str(error):
+            raise
+    failed = spark.table(name).withColumn("seen", F.lit("failed, by name"))
+    by_path = tables.read_table(spark, path).withColumn("seen", F.lit("failed, by path"))
+    tables.publish(orders.withColumn("o_totalprice", F.col("o_totalprice") * 2), path, name=name)
+    swapped = spark.table(name).withColumn("seen", F.lit("swapped"))
+    return failed.unionAll(by_path).unionAll(swapped)
+
+
+def average_near_half_cent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages that are half a cent by construction, on 1, 7 and 200 partitions: each order's
+    price, and what it lacks to a total that ends so."""
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    rest = (F.lit(Decimal("300.01")) + F.col("o_custkey") % 7 - price).cast("double")
+    orders = _given(spark, sf_dir, "orders")
+    group = (F.col("o_custkey") % 7).alias("customer_group")
+    values = orders.select(group, "o_totalprice").unionAll(orders.select(group, rest))
+
+    def averages(partitions: int) -> DataFrame:
+        average = rounded_average("o_totalprice").alias("average")
+        return values.repartition(partitions).groupBy("customer_group").agg(average).withColumn("partitions", F.lit(partitions))
+
+    return averages(1).unionAll(averages(7)).unionAll(averages(200))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Customer segments at the smallest scale."""
     return rfm_segments(spark, SMOKE)
@@ -500,6 +538,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "database_listing": database_listing,
         "partitions_replaced": partitions_replaced,
         "table_moved": table_moved,
+        "table_swapped": table_swapped,
+        "average_near_half_cent": average_near_half_cent,
         **added,
     }
 
@@ -746,4 +786,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT c_custkey AS customer_id, c_custkey AS customer_unique_id, c_mktsegment AS customer_market, 'b' AS label
             FROM customer WHERE c_custkey % 2 <> 0""",
         "table_moved": f"WITH {_ORDERS} SELECT * FROM orders_role WHERE order_status = 'O'",
+        "table_swapped": """
+            SELECT o_orderkey, CASE WHEN seen = 'swapped' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, seen
+            FROM orders CROSS JOIN (VALUES ('failed, by name'), ('failed, by path'), ('swapped')) AS t(seen)""",
+        "average_near_half_cent": """
+            WITH prices AS (
+                SELECT o_custkey % 7 AS customer_group, CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM orders
+            ), cents AS (
+                SELECT customer_group, 2 * count(*) AS n,
+                       CAST(sum(price * 100) + sum((300.01 + customer_group - price) * 100) AS HUGEINT) AS total
+                FROM prices GROUP BY customer_group
+            )
+            SELECT customer_group, CAST((2 * total + n) // (2 * n) AS DOUBLE) / 100 AS average, CAST(partitions AS INTEGER) AS partitions
+            FROM cents CROSS JOIN (VALUES (1), (7), (200)) AS t(partitions)""",
     }

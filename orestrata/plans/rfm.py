@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.functions.dates import days_until
+from orestrata.functions.exact import exact_sum, fits
 from orestrata.functions.segments import score_string, segment
 from orestrata.operators.joins import left_lookup
 from orestrata.operators.ntile import with_ntiles
@@ -15,6 +16,13 @@ PERSON = "customer_unique_id"
 AMOUNT = "price + freight_value"
 
 
+def _total(df: DataFrame, amount: str) -> Column:
+    """The sum of an expression; decimals add up in machine words."""
+    value = F.expr(amount)
+    kind = df.select(value.alias("amount")).schema["amount"].dataType
+    return exact_sum(value, kind.scale) if fits(kind) else F.sum(value)
+
+
 def order_sales(
     orders: DataFrame, customers: DataFrame, items: DataFrame, amount: str = AMOUNT
 ) -> DataFrame:
@@ -24,7 +32,7 @@ def order_sales(
     row, at a fraction of the shuffle: items collapse to one row per order before they
     move, so neither the fan-out nor a giant order is ever shuffled.
     """
-    totals = items.groupBy("order_id").agg(F.sum(F.expr(amount)).alias("amount"))
+    totals = items.groupBy("order_id").agg(_total(items, amount).alias("amount"))
     slim = orders.select("order_id", "customer_id", "order_purchase_timestamp")
     people = customers.select("customer_id", PERSON)
     sales = left_lookup(left_lookup(slim, totals, "order_id"), people, "customer_id")
@@ -47,13 +55,13 @@ def rfm_base(
     """Metrics per person; sales without a known person form one NULL person.
 
     `amount` is best a decimal, or a whole number of which `units` make one of currency:
-    both sum exactly, whole numbers at a third of the time. The reference date is a scalar
+    both sum exactly, in machine words. The reference date is a scalar
     subquery, so nothing passes through the driver.
     """
     metrics = sales.groupBy(person).agg(
         F.max(purchased).alias("last_purchase_date"),
         F.count_distinct(order).alias("frequency"),
-        (F.sum(F.expr(amount)).cast("double") / units).alias("monetary"),
+        (_total(sales, amount).cast("double") / units).alias("monetary"),
     )
     latest = reference_date(sales, purchased).scalar()
     return metrics.withColumn("recency", days_until(latest, F.col("last_purchase_date")))

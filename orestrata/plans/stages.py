@@ -1,7 +1,8 @@
 """The stages of a full run, with their reads and writes.
 
-Stage order: ingest, register, check, silver, gold. Every stage overwrites its tables, so
-running it again gives the same result.
+Stage order: ingest, register, check, silver, gold. Every stage replaces its tables by new
+versions, so running it again gives the same result, and a stage that fails leaves the old
+tables as they were.
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ def ingest_counts(
     for dataset in datasets:
         path = layer_path(base, "bronze", dataset.name)
         seen = Observation()
-        tables.write_table(files.read_dataset(spark, raw_base, dataset, infer=infer, seen=seen), path)
+        tables.publish(files.read_dataset(spark, raw_base, dataset, infer=infer, seen=seen), path)
         counts = seen.get
         written[dataset.name] = Ingested(counts["rows"], tables.row_count(spark, path), counts["unreadable"])
     return written
@@ -109,8 +110,7 @@ def silver(
     sales = build_silver(
         orders, customers, items, products, excluded, drop_duplicates=drop_duplicates, required=required
     )
-    tables.write_table(sales, path)
-    tables.register_table(spark, f"{database}.{SILVER_TABLE}", path, replace=True)
+    tables.publish(sales, path, name=f"{database}.{SILVER_TABLE}")
     return tables.row_count(spark, path)
 
 
@@ -120,8 +120,7 @@ def gold(spark: SparkSession, base: str, database: str = "default") -> int:
         spark, f"{database}.{SILVER_TABLE}", layer_path(base, "silver", SILVER_SALES)
     )
     path = layer_path(base, "gold", GOLD_SEGMENTS)
-    tables.write_table(rfm_segments(sales), path, ["rfm_segment"])
-    tables.register_table(spark, f"{database}.{GOLD_TABLE}", path, replace=True)
+    tables.publish(rfm_segments(sales), path, ["rfm_segment"], f"{database}.{GOLD_TABLE}")
     return tables.row_count(spark, path)
 
 
