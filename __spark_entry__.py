@@ -25,8 +25,8 @@ from orestrata.functions.rounding import rounded_average
 from orestrata.operators import dedup
 from orestrata.operators.joins import left_fan_out, left_lookup
 from orestrata.operators.ntile import with_ntiles
-from orestrata.operators.upsert import upsert
-from orestrata.plans import reports, rfm, silver, stages
+from orestrata.operators.upsert import upsert, upsert_table
+from orestrata.plans import incremental, reports, rfm, silver, stages
 from orestrata.sources import files, tables
 from orestrata.sources.registry import only
 from orestrata.sources.scratch import scratch_path
@@ -404,6 +404,42 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(orders, changed.unionByName(added), ["o_orderkey"])
 
 
+def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stored by status, upserted in place: urgent orders move to another status, which
+    empties no place, those of one status all leave it, new ones arrive. One status is not touched."""
+    path = scratch_path(spark, "orders")
+    orders = _given(spark, sf_dir, "orders")
+    tables.publish(orders, path, ["o_orderstatus"])
+    urgent = (F.col("o_orderstatus") == EXCLUDED) & (F.col("o_orderpriority") == "1-URGENT")
+    moved = orders.filter(urgent).withColumn("o_orderstatus", F.lit("R"))
+    left = orders.filter("o_orderstatus = 'P'").withColumns({"o_orderstatus": F.lit("Q"), "o_totalprice": F.col("o_totalprice") * 2})
+    added = orders.filter("o_orderpriority = '5-LOW' AND o_orderstatus = 'F'").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    upsert_table(spark, path, moved.unionAll(left).unionAll(added), ["o_orderkey"], ["o_orderstatus"])
+    return tables.read_table(spark, path)
+
+
+def silver_after_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table by month, built from most of the rows of each dataset and brought up to
+    date twice, as the rest arrives."""
+    base = scratch_path(spark, "layers")
+    kinds = {
+        "orders": (_dated_orders(spark, sf_dir), "order_id"),
+        "customers": (_customers(spark, sf_dir), "customer_id"),
+        "order_items": (_items(spark, sf_dir), "product_id"),
+        "products": (_products(spark, sf_dir), "product_id"),
+    }
+    for name, (rows, key) in kinds.items():
+        tables.publish(rows.filter(F.col(key) % 50 > 1), stages.layer_path(base, "bronze", name))
+    incremental.update_silver(spark, base, EXCLUDED)
+    for late in ({"orders": 0, "order_items": 1}, {"customers": 0, "products": 1, "order_items": 0, "orders": 1}):
+        for name, rest in late.items():
+            rows, key = kinds[name]
+            both = name in ("customers", "products")
+            incremental.append(rows.filter(F.col(key) % 50 <= 1 if both else F.col(key) % 50 == rest), base, name)
+        incremental.update_silver(spark, base, EXCLUDED)
+    return _shown(incremental.sales_by_month(spark, base).drop(incremental.MONTH))
+
+
 def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given tables registered in a new database, listed there, described and counted."""
     database = f"given_{uuid4().hex}"
@@ -540,6 +576,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_moved": table_moved,
         "table_swapped": table_swapped,
         "average_near_half_cent": average_near_half_cent,
+        "upsert_partitions": upsert_partitions,
+        "silver_after_arrivals": silver_after_arrivals,
         **added,
     }
 
@@ -789,6 +827,16 @@ def oracle_sql() -> dict[str, str]:
         "table_swapped": """
             SELECT o_orderkey, CASE WHEN seen = 'swapped' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, seen
             FROM orders CROSS JOIN (VALUES ('failed, by name'), ('failed, by path'), ('swapped')) AS t(seen)""",
+        "upsert_partitions": """
+            SELECT o_orderkey, o_custkey,
+                   CASE WHEN o_orderstatus = 'P' THEN 'Q' WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'R'
+                        ELSE o_orderstatus END AS o_orderstatus,
+                   CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+            FROM orders
+            UNION ALL
+            SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+            FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F'""",
+        "silver_after_arrivals": f"WITH {_SILVER} SELECT * FROM silver",
         "average_near_half_cent": """
             WITH prices AS (
                 SELECT o_custkey % 7 AS customer_group, CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM orders
