@@ -27,9 +27,9 @@ from orestrata.operators.joins import left_fan_out, left_lookup
 from orestrata.operators.ntile import with_ntiles
 from orestrata.operators.upsert import upsert, upsert_table
 from orestrata.plans import incremental, reports, rfm, silver, stages
-from orestrata.sources import files, tables
+from orestrata.sources import files, paths, tables
 from orestrata.sources.registry import only
-from orestrata.sources.scratch import scratch_path
+from orestrata.sources.scratch import scratch_path, shared_folder
 
 # The training-data operators are a subpackage that the rest works without, be it that the
 # subpackage is missing or a library that it needs.
@@ -181,6 +181,41 @@ def ingest_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "dataset string, rows_read bigint, rows_written bigint, unreadable bigint")
 
 
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values of that file, and prices of freight that are too long, as the rejects table has them."""
+    price = F.when(F.col("l_linenumber") == 7, "n/a").otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string"))
+    freight = F.when(F.col("l_linenumber") > 5, F.concat(F.lit("12345678901234567890123"), F.col("l_linenumber").cast("string"))).otherwise("1.5")
+    items = _given(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"), price.alias("price"), freight.alias("freight_value"))
+    base, datasets = scratch_path(spark, "layers"), only("order_items")
+    items.write.csv(f"{base}/raw/{datasets[0].file}", header=True)
+    stages.ingest_counts(spark, f"{base}/raw", base, datasets, rejects=True)
+    return tables.read_table(spark, stages.layer_path(base, "rejects", "order_items")).select("line", "column_name", "text", "reason")
+
+
+def run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that fails in its last stage, as its table's name is taken, and is run again: the
+    report, with the versions that were written of a bronze table and of silver, and the
+    folders that the runs have left among the intermediate tables."""
+    base, datasets = _raw_files(spark, sf_dir)
+    database = f"run_{uuid4().hex}"
+    tables.create_database(spark, database, f"{base}/catalog")
+    spark.sql(f"CREATE TABLE {database}.{stages.GOLD_TABLE} (taken int) USING PARQUET")
+    before = set(paths.children(spark, shared_folder(spark)))
+    try:
+        stages.run_all(spark, f"{base}/raw", base, datasets, database, excluded=EXCLUDED)
+    except ValueError:
+        spark.sql(f"DROP TABLE {database}.{stages.GOLD_TABLE}")
+    stages.run_all(spark, f"{base}/raw", base, datasets, database, excluded=EXCLUDED)
+    left = [name for name in paths.children(spark, shared_folder(spark)) if name not in before]
+    written = {
+        "bronze_writes": len(paths.versions(spark, stages.layer_path(base, "bronze", "orders"))),
+        "silver_writes": len(paths.versions(spark, stages.layer_path(base, "silver", stages.SILVER_SALES))),
+        "folders_left": len(left),
+    }
+    report = reports.segment_distribution(stages.gold_table(spark, base, database))
+    return report.withColumns({name: F.lit(count) for name, count in written.items()})
+
+
 def malformed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders ingested from CSV with every tenth delivery date no date, and cleaned; both with
     declared and with inferred types."""
@@ -578,6 +613,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "average_near_half_cent": average_near_half_cent,
         "upsert_partitions": upsert_partitions,
         "silver_after_arrivals": silver_after_arrivals,
+        "ingest_rejects": ingest_rejects,
+        "run_resumed": run_resumed,
         **added,
     }
 
@@ -837,6 +874,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
             FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F'""",
         "silver_after_arrivals": f"WITH {_SILVER} SELECT * FROM silver",
+        "ingest_rejects": """
+            WITH items AS (
+                SELECT l_orderkey, CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) END AS price,
+                       CASE WHEN l_linenumber > 5 THEN '12345678901234567890123' || l_linenumber ELSE '1.5' END AS freight, l_linenumber
+                FROM lineitem
+            ), lines AS (SELECT *, l_orderkey || ',' || price || ',' || freight AS line FROM items)
+            SELECT line, 'price' AS column_name, price AS text, 'not a decimal(20,4)' AS reason FROM lines WHERE l_linenumber = 7
+            UNION ALL SELECT line, 'freight_value', freight, 'not a decimal(20,4)' FROM lines WHERE l_linenumber > 5""",
+        "run_resumed": f"""
+            SELECT *, CAST(1 AS INTEGER) AS bronze_writes, CAST(1 AS INTEGER) AS silver_writes, CAST(0 AS INTEGER) AS folders_left
+            FROM ({_distribution_sql("CAST(c.c_custkey AS VARCHAR)")})""",
         "average_near_half_cent": """
             WITH prices AS (
                 SELECT o_custkey % 7 AS customer_group, CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM orders

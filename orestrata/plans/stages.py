@@ -7,21 +7,29 @@ tables as they were.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+import json
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from orestrata.plans import reports
 from orestrata.plans.rfm import rfm_segments
 from orestrata.plans.silver import CANCELED, build_silver
-from orestrata.sources import files, tables
-from orestrata.sources.registry import DATASETS, GOLD_SEGMENTS, SILVER_SALES, Dataset, layer_path
+from orestrata.sources import files, paths, tables
+from orestrata.sources.registry import DATASETS, GOLD_SEGMENTS, SILVER_SALES, Dataset, layer_path, source_path
+from orestrata.sources.scratch import materialize, run_scope
 
 # Catalog names.
 BRONZE_PREFIX = "bronze_"
 SILVER_TABLE = "silver_sales"
 GOLD_TABLE = "gold_rfm_segments"
+# Where a run notes its finished stages, and how many datasets are ingested side by side.
+RUN_LOG = "_run.json"
+INGEST_THREADS = 4
 
 
 @dataclass(frozen=True)
@@ -57,18 +65,35 @@ def ingest_counts(
     datasets: Iterable[Dataset] = DATASETS,
     *,
     infer: bool = False,
+    rejects: bool = False,
 ) -> dict[str, Ingested]:
-    """The same, with what was read and what was lost; counted while the files are read."""
+    """The same, with what was read and what was lost; counted while the files are read.
+
+    Datasets do not depend on each other, so some are ingested side by side. With `rejects`,
+    what was lost is also written, to the table `rejects/<dataset>`: file, line, column_name,
+    text and reason. The files are still parsed once; types are then declared, not inferred.
+    """
+    if infer and rejects:
+        raise ValueError("inferred types reject nothing")
     datasets = tuple(datasets)
     files.check_inputs(spark, raw_base, datasets)
-    written = {}
-    for dataset in datasets:
+
+    def write(dataset: Dataset) -> Ingested:
         path = layer_path(base, "bronze", dataset.name)
         seen = Observation()
-        tables.publish(files.read_dataset(spark, raw_base, dataset, infer=infer, seen=seen), path)
-        counts = seen.get
-        written[dataset.name] = Ingested(counts["rows"], tables.row_count(spark, path), counts["unreadable"])
-    return written
+        if rejects:
+            read = files.read_rejecting(spark, source_path(raw_base, dataset), types=dataset.types, multi_line=dataset.multi_line)
+            lost = F.sum(F.size(F.filter(files.REJECTED, lambda r: r["column_name"].isNotNull())))
+            counts = (F.count(F.lit(1)).alias("rows"), F.coalesce(lost, F.lit(0)).alias("unreadable"))
+            read = materialize(read.observe(seen, *counts), "parsed")
+            tables.publish(read.drop(files.FILE, files.LINE, files.REJECTED), path)
+            tables.publish(files.rejects(read), layer_path(base, "rejects", dataset.name))
+        else:
+            tables.publish(files.read_dataset(spark, raw_base, dataset, infer=infer, seen=seen), path)
+        return Ingested(seen.get["rows"], tables.row_count(spark, path), seen.get["unreadable"])
+
+    with ThreadPoolExecutor(INGEST_THREADS) as pool:
+        return dict(zip([d.name for d in datasets], pool.map(write, datasets), strict=True))
 
 
 def register_bronze(
@@ -131,6 +156,38 @@ def gold_table(spark: SparkSession, base: str, database: str = "default") -> Dat
     )
 
 
+def fingerprint(spark: SparkSession, raw_base: str, datasets: Iterable[Dataset], **options) -> str:
+    """A hash of the raw files' names, sizes and times, of the datasets and of all options."""
+    inputs = [(asdict(d), paths.files_below(spark, source_path(raw_base, d))) for d in datasets]
+    return sha256(json.dumps([inputs, options], sort_keys=True, default=list).encode()).hexdigest()
+
+
+class RunLog:
+    """What an unfinished run over the same inputs has done, in `<base>/_run.json`."""
+
+    def __init__(self, spark: SparkSession, base: str, mark: str):
+        self.spark, self.path, self.mark = spark, f"{base.rstrip('/')}/{RUN_LOG}", mark
+        found = json.loads(paths.read_text(spark, self.path) or "{}")
+        self.done = found["done"] if found.get("mark") == mark else {}
+
+    def stage(self, name: str, run: Callable[[], dict], written: Sequence[str] = ()) -> dict:
+        """The counts of a stage: noted ones, if the tables that it has `written` are still the
+        current ones; else it runs and is noted."""
+        known = self.done.get(name)
+        if known and known["tables"] == [tables.table_path(self.spark, path) for path in written]:
+            return known["counts"]
+        counts = run()
+        # Whatever was built on an older result is not done.
+        self.done[name] = {"counts": counts, "tables": [tables.table_path(self.spark, path) for path in written]}
+        for later in list(self.done)[list(self.done).index(name) + 1 :]:
+            del self.done[later]
+        paths.write_text(self.spark, self.path, json.dumps({"mark": self.mark, "done": self.done}))
+        return counts
+
+    def close(self) -> None:
+        paths.remove(self.spark, self.path)
+
+
 def run_all(
     spark: SparkSession,
     raw_base: str,
@@ -142,13 +199,35 @@ def run_all(
     infer: bool = False,
     drop_duplicates: bool = False,
     required: Sequence[str] = (),
+    rejects: bool = False,
 ) -> dict[str, dict[str, int]]:
-    """All stages in order; returns the rows that each counted."""
+    """All stages in order; returns the rows that each counted.
+
+    After a failure, the next run over the same files with the same options takes up where it
+    stopped: stages whose tables are still there are not run again. A run that ends well
+    leaves nothing to take up, and none leaves intermediate tables.
+    """
     datasets = tuple(datasets)
-    counted = {"ingest": ingest(spark, raw_base, base, datasets, infer=infer)}
-    register_bronze(spark, base, datasets, database)
-    counted["check"] = {row.table_name: row.row_count for row in check(spark, database).collect()}
-    rows = silver(spark, base, database, excluded, drop_duplicates=drop_duplicates, required=required)
-    counted["silver"] = {SILVER_TABLE: rows}
-    counted["gold"] = {GOLD_TABLE: gold(spark, base, database)}
+    options = {"excluded": excluded, "infer": infer, "drop_duplicates": drop_duplicates, "required": list(required), "rejects": rejects}
+    files.check_inputs(spark, raw_base, datasets)
+    log = RunLog(spark, base, fingerprint(spark, raw_base, datasets, database=database, **options))
+    with run_scope(spark):
+        bronze = [layer_path(base, "bronze", d.name) for d in datasets]
+
+        def ingested() -> dict[str, int]:
+            counted = ingest_counts(spark, raw_base, base, datasets, infer=infer, rejects=rejects)
+            return {name: counts.rows_written for name, counts in counted.items()}
+
+        def checked() -> dict[str, int]:
+            return {row.table_name: row.row_count for row in check(spark, database).collect()}
+
+        def joined() -> dict[str, int]:
+            return {SILVER_TABLE: silver(spark, base, database, excluded, drop_duplicates=drop_duplicates, required=required)}
+
+        counted = {"ingest": log.stage("ingest", ingested, bronze)}
+        register_bronze(spark, base, datasets, database)
+        counted["check"] = log.stage("check", checked)
+        counted["silver"] = log.stage("silver", joined, [layer_path(base, "silver", SILVER_SALES)])
+        counted["gold"] = log.stage("gold", lambda: {GOLD_TABLE: gold(spark, base, database)}, [layer_path(base, "gold", GOLD_SEGMENTS)])
+    log.close()
     return counted

@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orestrata.sources import paths
+
+# The folder of the run that the caller is in.
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
 
 @lru_cache(maxsize=None)
 def _local_folder(application_id: str) -> str:
@@ -29,9 +37,24 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(context.applicationId)
 
 
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[str]:
+    """Everything written to the shared folder inside goes when the scope ends, also by an error.
+
+    What is computed inside must be written elsewhere, or collected, before that.
+    """
+    folder = f"{_RUN.get() or shared_folder(spark)}/run-{uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        paths.remove(spark, folder)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+    """A path in the shared folder, or in that of the run, that nothing else uses."""
+    return f"{_RUN.get() or shared_folder(spark)}/{label}-{uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

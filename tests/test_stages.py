@@ -3,7 +3,7 @@
 import pytest
 
 from orestrata.plans import reports, stages
-from orestrata.sources import tables
+from orestrata.sources import paths, scratch, tables
 from orestrata.sources.registry import DATASETS
 
 FILES = {
@@ -81,3 +81,94 @@ def test_nothing_is_written_when_an_input_is_missing(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="products"):
         stages.ingest(spark, str(folder), str(tmp_path / "base"))
     assert not (tmp_path / "base").exists()
+
+
+@pytest.mark.parametrize("failing", ["silver", "gold"])
+def test_a_run_takes_up_where_it_failed(spark, tmp_path, raw, monkeypatch, failing):
+    base, database = str(tmp_path / "base"), f"resumed_{failing}"
+    tables.create_database(spark, database, str(tmp_path / "db"))
+    calls = []
+    real = {name: getattr(stages, name) for name in ("ingest_counts", "check", "silver", "gold")}
+
+    def counted(name, broken):
+        def run(*args, **kwargs):
+            calls.append(name)
+            if broken:
+                raise RuntimeError("broken")
+            return real[name](*args, **kwargs)
+
+        return run
+
+    for name in real:
+        monkeypatch.setattr(stages, name, counted(name, name == failing))
+    with pytest.raises(RuntimeError, match="broken"):
+        stages.run_all(spark, raw, base, DATASETS, database)
+    before = set(paths.children(spark, scratch.shared_folder(spark)))
+    calls.clear()
+    monkeypatch.setattr(stages, failing, counted(failing, False))
+    resumed = stages.run_all(spark, raw, base, DATASETS, database)
+    assert calls == {"silver": ["silver", "gold"], "gold": ["gold"]}[failing]
+    assert resumed["ingest"]["orders"] == 4 and resumed["gold"] == {"gold_rfm_segments": 2}
+    assert set(paths.children(spark, scratch.shared_folder(spark))) <= before
+    assert not (tmp_path / "base" / stages.RUN_LOG).exists()
+    calls.clear()
+    assert stages.run_all(spark, raw, base, DATASETS, database) == resumed
+    assert calls == ["ingest_counts", "check", "silver", "gold"]
+
+
+def test_other_inputs_or_tables_are_not_taken_up(spark, tmp_path, raw):
+    base = str(tmp_path / "base")
+    some = [d for d in DATASETS if d.name in ("orders", "sellers")]
+    mark = stages.fingerprint(spark, raw, some, excluded="x")
+    assert mark == stages.fingerprint(spark, raw, some, excluded="x")
+    assert mark != stages.fingerprint(spark, raw, some, excluded="y") != stages.fingerprint(spark, raw, DATASETS, excluded="y")
+    path = f"{base}/bronze/sellers"
+    log = stages.RunLog(spark, base, mark)
+    write = lambda n: lambda: [tables.publish(spark.range(n), path), {"sellers": n}][1]
+    assert log.stage("ingest", write(1), [path]) == {"sellers": 1}
+    assert log.stage("silver", lambda: {"s": 1}) == {"s": 1}
+    assert stages.RunLog(spark, base, mark).stage("ingest", write(2), [path]) == {"sellers": 1}
+    tables.publish(spark.range(5), path)  # someone else's write
+    log = stages.RunLog(spark, base, mark)
+    assert log.stage("ingest", write(3), [path]) == {"sellers": 3} and list(log.done) == ["ingest"]
+    assert stages.RunLog(spark, base, "other").done == {}
+    with open(f"{raw}/sellers.csv", "a") as file:
+        file.write("t,there\n")
+    assert stages.fingerprint(spark, raw, some, excluded="x") != mark
+
+
+def test_scopes_remove_what_is_in_them(spark):
+    with pytest.raises(KeyError), scratch.run_scope(spark) as outer:
+        with scratch.run_scope(spark) as inner:
+            assert inner.startswith(outer)
+            scratch.materialize(spark.range(3))
+            assert paths.children(spark, inner)
+        assert not paths.exists(spark, inner) and paths.exists(spark, outer)
+        raise KeyError
+    assert not paths.exists(spark, outer)
+    assert "run-" not in scratch.scratch_path(spark, "x")
+
+
+def test_rejects_have_line_column_and_text(spark, tmp_path, rows):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "order_items.csv").write_text(
+        "order_id,order_item_id,price,freight_value\n"
+        'o1,1,10.00,1\n"o,2",x,cheap,2\no3,3,,\no4,4,5\no5,5,6,7,8\n"o""6",6,1e2,9\n'
+    )
+    datasets = [d for d in DATASETS if d.name == "order_items"]
+    counted = stages.ingest_counts(spark, str(raw), str(tmp_path), datasets, rejects=True)["order_items"]
+    assert (counted.rows_read, counted.rows_written, counted.unreadable) == (6, 6, 2)
+    got = rows(tables.read_table(spark, f"{tmp_path}/rejects/order_items"), "line", "column_name", "text", "reason", "file")
+    assert got == [
+        ('"o,2",x,cheap,2', "order_item_id", "x", "not a int", "order_items.csv"),
+        ('"o,2",x,cheap,2', "price", "cheap", "not a decimal(20,4)", "order_items.csv"),
+        ("o4,4,5", None, "o4,4,5", "wrong number of fields", "order_items.csv"),
+        ("o5,5,6,7,8", None, "o5,5,6,7,8", "wrong number of fields", "order_items.csv"),
+    ]
+    kept = tables.read_table(spark, f"{tmp_path}/bronze/order_items")
+    plain = stages.ingest_counts(spark, str(raw), f"{tmp_path}/plain", datasets)["order_items"]
+    assert (plain.rows_read, plain.unreadable) == (6, 2)
+    assert rows(kept) == rows(tables.read_table(spark, f"{tmp_path}/plain/bronze/order_items"))
+    with pytest.raises(ValueError, match="reject nothing"):
+        stages.ingest_counts(spark, str(raw), str(tmp_path), datasets, infer=True, rejects=True)
