@@ -15,10 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from itertools import pairwise
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -102,17 +101,26 @@ class Orderings:
         return after_low if high is None else after_low & ~self.after(bracket.name, high)
 
     def ranked(self, brackets: Sequence[Bracket], shares: Sequence[float], seed: int) -> DataFrame:
-        """Rows of some brackets of one ordering, or a random share of them, with the
-        bracket's index as `part` and their `position` among the rows taken from it.
+        """Rows of some brackets, or a random share of them, with the bracket's index as `part`
+        and their `position` among the rows taken from it; each ordering's rows in a column of
+        their own.
 
-        One task sorts one bracket, so brackets or shares must be small.
+        The table is scanned and shuffled once for all orderings. One task sorts one bracket,
+        so brackets or shares must be small.
         """
-        (name,) = {b.name for b in brackets}
-        part = F.coalesce(*[F.when(self.inside(b), i) for i, b in enumerate(brackets)])
-        rows = self.df.select(part.alias("part"), self.row(name).alias("row")).filter("part IS NOT NULL")
+        members: dict[str, list[int]] = {}
+        for i, bracket in enumerate(brackets):
+            members.setdefault(bracket.name, []).append(i)
+
+        def taken(name: str) -> Column:
+            part = F.coalesce(*[F.when(self.inside(brackets[i]), i) for i in members[name]])
+            rows = [self.row(n) if n == name else F.lit(None).cast(self.types[n]) for n in members]
+            return F.struct(part.alias("part"), *[row.alias(f"row_{n}") for n, row in zip(members, rows, strict=True)])
+
+        rows = self.df.select(F.inline(F.array(*[taken(name) for name in members]))).filter("part IS NOT NULL")
         if min(shares) < 1:
             rows = rows.filter(F.rand(seed) < F.array(*map(F.lit, shares))[F.col("part")])
-        fields = [F.col(f"row.{f.name}").asc_nulls_first() for f in self.types[name]]
+        fields = [F.col(f"row_{name}.{f.name}").asc_nulls_first() for name in members for f in self.types[name]]
         return rows.withColumn("position", F.row_number().over(Window.partitionBy("part").orderBy(*fields)))
 
 
@@ -135,26 +143,13 @@ def _rows_at(
 ) -> list[list[Row]]:
     """The rows at the given places of each bracket, or of a random share of it, in order.
 
-    One job, with one scan per ordering; only these few rows reach the driver.
+    One job with one scan; only these few rows reach the driver.
     """
-    indexes: dict[str, list[int]] = {}
-    for i, bracket in enumerate(brackets):
-        indexes.setdefault(bracket.name, []).append(i)
-    parts = []
-    for name, members in indexes.items():
-        ranked = orderings.ranked([brackets[i] for i in members], [shares[i] for i in members], seed)
-        chosen = F.array(*[F.array(*map(F.lit, places[i])) for i in members])[F.col("part")]
-        parts.append(
-            ranked.filter(F.array_contains(chosen, F.col("position"))).select(
-                F.array(*map(F.lit, members))[F.col("part")].alias("bracket"),
-                "position",
-                F.col("row").alias(f"row_{name}"),
-            )
-        )
-    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).collect()
+    chosen = F.array(*[F.array(*map(F.lit, wanted)) for wanted in places])[F.col("part")]
+    found = orderings.ranked(brackets, shares, seed).filter(F.array_contains(chosen, F.col("position"))).collect()
     result: list[list[Row]] = [[] for _ in brackets]
     for row in sorted(found, key=lambda row: row.position):
-        result[row.bracket].append(row[f"row_{brackets[row.bracket].name}"])
+        result[row.part].append(row[f"row_{brackets[row.part].name}"])
     return result
 
 
@@ -247,9 +242,13 @@ def with_ntiles(
     Runs jobs at once: the table is written first unless the caller vouches that `df` is a
     scan of a written table (`stable`).
     """
-    table = df if stable else materialize(df, "ntile")
+    if stable:
+        table, rows = df, df.count()
+    else:
+        seen = Observation()
+        table = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), "ntile")
+        rows = seen.get["rows"]
     keyed = Orderings(table, orderings)
-    rows = table.count()
     ends = bucket_end_rows(
         keyed, bucket_ends(rows, buckets), rows, sort_rows=sort_rows, sample_rows=sample_rows
     )

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orestrata.operators.ntile import bucket_ends, with_ntiles
+from orestrata.operators.ntile import Bracket, Orderings, bucket_ends, with_ntiles
 from orestrata.sources.scratch import materialize
 
 
@@ -101,3 +101,31 @@ def test_bucket_ends(rows, buckets):
     assert sum(sizes) == rows and sizes == sorted(sizes, reverse=True)
     assert len(sizes) == max(1, min(rows, buckets))
     assert max(sizes) - min(sizes) <= 1
+
+
+def _jobs(spark, run):
+    """Jobs that the context has started while running."""
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{run.__name__}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup(None, None)
+
+
+def test_three_orderings_cost_the_scans_and_jobs_of_one(spark):
+    table = materialize(spark.range(3000).select("id", (F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b")))
+    keys = {"x": [F.col("a"), F.col("id")], "y": [F.col("b"), F.col("id")], "z": [F.col("id")]}
+    bounds = {"stable": True, "sort_rows": 500, "sample_rows": 500}
+
+    def one():
+        with_ntiles(table, 4, {"x": keys["x"]}, **bounds)
+
+    def three():
+        with_ntiles(table, 4, keys, **bounds)
+
+    assert _jobs(spark, three) == _jobs(spark, one)
+    ranked = Orderings(table, keys).ranked([Bracket(n, None, None, 0, 3000, (9,)) for n in keys], [1.0] * 3, 0)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("Window [") == 1
