@@ -33,10 +33,11 @@ from orestrata.sources.scratch import materialize
 KINDS = ("email", "ip", "card", "phone")
 _PLACE_SEED = 29
 
-# The base patterns. Possessive quantifiers and the look behind change no
-# match; they spare retries, and recursion on long runs.
+# The base patterns. Possessive quantifiers and looks behind change no match;
+# they spare retries, and recursion on long runs. An email begins where its run of characters
+# does, or where the match before it ended.
 BASE = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -77,6 +78,8 @@ _NOT_NATIONAL = (
     r"|[0-9]{1,3}(?:\.[0-9]{1,3}){3}$)"
 )
 CONTEXT = 32
+# Matches that are placed in one go: a fold copies the list that it adds to.
+SPAN_BLOCK = 256
 CLUES = {
     "email": r"(?i)e-?mail|contact|write|schreib|courriel|correo",
     "ip": r"(?i)\bip\b|address|server|host|adresse|servidor",
@@ -128,7 +131,23 @@ def spans(kind: str, values: Column, pieces: Column) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
-    found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), nothing.alias("spans")), step, lambda done: done["spans"])
+    def placed(block: Column, at: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), nothing.alias("spans")), step, lambda done: done["spans"])
+
+    def length(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda n, one: n + F.length(one["piece"]) + F.length(one["value"]))
+
+    # In two levels, first the places of blocks, then those of their matches, as one fold
+    # over all would take time with the square of their number.
+    firsts = F.sequence(F.lit(1), F.size(values), F.lit(SPAN_BLOCK))
+    blocks = F.transform(firsts, lambda first: F.slice(zipped, first, F.lit(SPAN_BLOCK)))
+    blocks = F.transform(blocks, lambda block: F.struct(block.alias("rows"), length(block).alias("length")))
+    starts = F.aggregate(
+        blocks, F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<int>)").alias("all")),
+        lambda done, block: F.struct((done["at"] + block["length"]).alias("at"), F.concat(done["all"], F.array(done["at"])).alias("all")),
+        lambda done: done["all"],
+    )
+    found = F.flatten(F.zip_with(blocks, starts, lambda block, at: placed(block["rows"], at)))
     return F.when(F.size(pieces) > 0, found).otherwise(nothing)
 
 
