@@ -65,9 +65,9 @@ VERSION = "byte_bpe_50k"
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after four batches over all documents: inserts with an estimate of a token per
-    four characters, the same batch once more, revisions to the counted tokens, and deletes
-    of the documents without any token."""
+    """Totals after three batches over all documents: inserts with an estimate of a token per
+    four characters, revisions to the counted tokens, and deletes of the documents without any
+    token. The first comes once more after itself, and again after it has been rolled up."""
     docs = table(spark, sf_dir, "documents")
     estimate = F.floor(F.length(F.coalesce("text", F.lit(""))) / 4).cast("bigint").alias("old_tokens")
     counted = token_counts.with_token_count(docs.select("source", "lang", estimate, "text"), RANKS)
@@ -77,6 +77,9 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.commit("load", token_counts.inserts(first, VERSION))
     ledger.commit("load", token_counts.inserts(first, VERSION))
     ledger.commit("count", token_counts.revisions(counted, VERSION))
+    ledger.roll_up()
+    ledger.forget()
+    ledger.commit("load", token_counts.inserts(first, VERSION))
     ledger.commit("empty", token_counts.deletes(counted.filter("tokens = 0"), VERSION))
     return ledger.totals()
 

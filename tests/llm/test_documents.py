@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -317,3 +318,71 @@ def test_token_ledger(spark, docs, tmp_path):
     for r in ledger.totals().collect():
         assert (r.documents, r.tokens) == (want[r.source, r.lang, "documents"], want[r.source, r.lang, "tokens"])
     assert sum(r.tokens for r in ledger.totals().collect()) == sum(v for k, v in want.items() if k[2] == "tokens")
+
+
+def _change(spark, *rows):
+    return spark.createDataFrame([("insert", "s", "en", "v", n, None) for n in rows], token_counts.CHANGES)
+
+
+def test_batches_count_once_after_they_are_rolled_up(spark, tmp_path):
+    ledger, other = (token_counts.TokenLedger(spark, f"{tmp_path}/{name}") for name in ("a", "b"))
+    assert ledger.commit("one", _change(spark, 20)) and not ledger.commit("one", _change(spark, 20))
+    ledger.commit("two", _change(spark, 5, 6))
+    for _ in range(2):
+        ledger.roll_up()
+        ledger.forget()
+        assert ledger._batches() == [] and not ledger.commit("one", _change(spark, 20))
+        assert [tuple(r) for r in ledger.totals().collect()] == [("s", "en", "v", 3, 31)]
+    ledger.commit("three", _change(spark, 1))
+    ledger.compact(other)
+    for batch, rows in (("one", [20]), ("two", [6, 5]), ("three", [1])):
+        assert not other.commit(batch, _change(spark, *rows))
+    other.commit("four", _change(spark, 100))
+    assert [tuple(r) for r in other.totals().collect()] == [("s", "en", "v", 5, 132)]
+    with pytest.raises(ValueError, match="batches of its own"):
+        ledger.compact(other)
+
+
+@pytest.mark.parametrize("rolled_up", [False, True])
+def test_a_changed_batch_is_refused(spark, tmp_path, rolled_up):
+    ledger = token_counts.TokenLedger(spark, str(tmp_path))
+    ledger.commit("one", _change(spark, 20))
+    if rolled_up:
+        ledger.roll_up()
+        ledger.forget()
+    with pytest.raises(ValueError, match="other changes"):
+        ledger.commit("one", _change(spark, 21))
+    assert ledger.totals().first().tokens == 20
+
+
+def test_crashes_in_the_ledger(spark, tmp_path):
+    """A batch or a rollup without its mark counts for nothing, and is written anew."""
+    ledger = token_counts.TokenLedger(spark, str(tmp_path))
+    ledger.commit("one", _change(spark, 20))
+    ledger.commit("two", _change(spark, 7))
+    (tmp_path / "batch=two" / "_SUCCESS").unlink()
+    assert ledger.totals().first().tokens == 20
+    assert ledger.commit("two", _change(spark, 7)) and ledger.totals().first().tokens == 27
+    ledger.roll_up()
+    (tmp_path / "rollup-0000000001" / "batches.json").unlink()
+    assert ledger.totals().first().tokens == 27
+    ledger.roll_up()
+    ledger.forget()
+    assert ledger.totals().first().tokens == 27 and not (tmp_path / "rollup-0000000001").exists()
+
+
+def test_base_spans_of_long_runs_and_of_many_matches(spark):
+    """Time grows with the text, not with its square; spans are those of plain search."""
+    run = "x" * 1_000_000 + " a@b.org " + "x" * 1000 + "@c.org"
+    many = " ".join(f"u{i}@h{i}.org" for i in range(20_000))
+    odd = "a@b.cc@d.ee@f -a@@b.c x@y..z a.b@c.d@e.f " * 50
+    rows = spark.createDataFrame(list(enumerate([run, many, odd])), "doc_id bigint, text string")
+    pattern = pii.BASE["email"].removeprefix(r"(?:\G|(?<![A-Za-z0-9._%+-]))")
+    start = time.perf_counter()
+    pieces, values = F.split("text", pii.BASE["email"], -1), F.regexp_extract_all("text", F.lit(pii.BASE["email"]), F.lit(0))
+    spans = pii.spans("email", values, pieces)
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in rows.select("doc_id", spans.alias("spans")).collect()}
+    assert time.perf_counter() - start < 60
+    assert got[0] == [(1_000_001, 1_000_008), (1_000_009, 1_001_015)]
+    for i, text in ((1, many), (2, odd)):
+        assert got[i] == [m.span() for m in re.finditer(pattern, text)]
