@@ -25,6 +25,7 @@ def main() -> None:
     parser.add_argument("--excluded", default=CANCELED, help="order status that silver leaves out")
     parser.add_argument("--drop-duplicates", action="store_true", help="keep one of identical raw rows in silver")
     parser.add_argument("--required", nargs="*", default=[], help="silver columns that must have a value")
+    parser.add_argument("--rejects", action="store_true", help="write values that do not fit their type to tables of their own")
     parser.add_argument("--shuffle-gb", type=int, help="largest shuffle to expect, which sets the number of its partitions")
     parser.add_argument("--master", help="Spark master, when not run by spark-submit")
     args = parser.parse_args()
@@ -37,7 +38,7 @@ def main() -> None:
     spark = build_session(f"orestrata {args.stage}", args.master, conf)
     try:
         if args.stage == "ingest":
-            print(stages.ingest_counts(spark, args.raw, args.base, datasets, infer=args.infer))
+            print(stages.ingest_counts(spark, args.raw, args.base, datasets, infer=args.infer, rejects=args.rejects))
         elif args.stage == "register":
             print(stages.register_bronze(spark, args.base, datasets, args.database))
         elif args.stage == "check":
@@ -48,7 +49,8 @@ def main() -> None:
         elif args.stage == "gold":
             print(stages.gold(spark, args.base, args.database))
         elif args.stage == "all":
-            print(stages.run_all(spark, args.raw, args.base, datasets, args.database, infer=args.infer, **cleaning))
+            reading = {"infer": args.infer, "rejects": args.rejects}
+            print(stages.run_all(spark, args.raw, args.base, datasets, args.database, **reading, **cleaning))
         if args.stage in ("gold", "report", "all"):
             gold = stages.gold_table(spark, args.base, args.database)
             reports.segment_distribution(gold).show(truncate=False)

@@ -2,6 +2,7 @@
 
 import pytest
 
+from orestrata import __main__ as command
 from orestrata.plans import reports, stages
 from orestrata.sources import paths, scratch, tables
 from orestrata.sources.registry import DATASETS
@@ -172,3 +173,26 @@ def test_rejects_have_line_column_and_text(spark, tmp_path, rows):
     assert rows(kept) == rows(tables.read_table(spark, f"{tmp_path}/plain/bronze/order_items"))
     with pytest.raises(ValueError, match="reject nothing"):
         stages.ingest_counts(spark, str(raw), str(tmp_path), datasets, infer=True, rejects=True)
+
+
+def test_command_line_prints_reports_and_previews(spark, tmp_path, raw, monkeypatch, capfd):
+    """The previews show what the tables hold."""
+    monkeypatch.setattr(command, "build_session", lambda *args: spark)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    base = str(tmp_path / "base")
+    tables.create_database(spark, "command", str(tmp_path / "db"))
+
+    def run(stage, *more):
+        monkeypatch.setattr("sys.argv", ["orestrata", stage, "--raw", raw, "--base", base, "--database", "command", *more])
+        command.main()
+        return capfd.readouterr().out
+
+    assert "'gold': {'gold_rfm_segments': 2}" in run("all", "--rejects")
+    report = [line.split("|")[1:-1] for line in run("report").splitlines() if line.startswith("|")]
+    lines = [[cell.strip() for cell in line] for line in report]
+    assert lines[:3] == [
+        ["rfm_segment", "customer_count", "avg_monetary", "avg_recency", "avg_frequency"],
+        ["At Risk", "1", "NULL", "1.0", "1.0"], ["Lost Customers", "1", "38.8", "20.0", "2.0"],
+    ]
+    shown = run("check")
+    assert "bronze_reviews" in shown and "review_id,order_id,review_score,review_comment_message" in shown
