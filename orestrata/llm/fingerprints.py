@@ -1,12 +1,13 @@
 """Document fingerprints: Merkle trees over sentences, paragraphs and sections.
 
 A paragraph is a line, a section the lines up to a blank one, and the leaves are a few
-sentences, or a few words of a very long one. A leaf ends after a sentence or word that its
-own hash picks, so an edit moves only the ends near it. Each node's hash covers its
-children's.
+sentences, or pieces of a long one, whatever its script and with or without blanks. A leaf
+ends after a sentence that its own hash picks, or after a character that the hash of the last
+few picks, so an edit moves only the ends near it; no leaf is longer than LONGEST_LEAF. Each
+node's hash covers its children's.
 
-A fingerprint is the tree as text: the root, then sections of paragraphs of leaves. Equal
-roots mean equal texts. Comparing two trees goes down only where hashes differ: whole
+A fingerprint is the tree as text: the root, then sections of paragraphs of leaves, of whose
+hashes the first 64 bits are written. Equal roots mean equal texts. Comparing two trees goes down only where hashes differ: whole
 sections, then whole paragraphs, then leaves are matched, and what stays unmatched locates
 the edits.
 """
@@ -19,18 +20,25 @@ from collections.abc import Iterator
 from hashlib import blake2b, sha256
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orestrata.llm.words import mix
 from orestrata.sources.scratch import scratch_path
 
-# A sentence of so many blanks is cut at words; one in so many sentences, and words, ends a leaf.
-LONG_SENTENCE = 64
+# One in so many sentences ends a leaf that is long enough. A sentence of more than LONG_SENTENCE characters is
+# cut inside: after one in CHARACTERS characters, as the last WINDOW of them tell.
 SENTENCES = 2
-WORDS = 16
-_SENTENCE = re.compile(r"[^.!?]*[.!?]+\s*|[^.!?]+")
-_WORD = re.compile(r"\s*\S+\s*")
+LONG_SENTENCE = 192
+CHARACTERS = 96
+WINDOW = 8
+SHORTEST_LEAF = 48
+LONGEST_LEAF = 512
+WRITTEN = 16
+_SENTENCE = re.compile(r"[^.!?\u2026\u3002\uff01\uff1f\uff0e]*[.!?\u2026\u3002\uff01\uff1f\uff0e]+\s*|[^.!?\u2026\u3002\uff01\uff1f\uff0e]+")
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 # Paragraph: hash, characters, ((leaf hash, characters), ...). Section: hash, characters, paragraphs.
 Leaf = tuple[str, int]
@@ -38,22 +46,47 @@ Node = tuple[str, int, tuple]
 
 
 def _hash(data: str) -> str:
-    return blake2b(data.encode("utf-8", "surrogatepass"), digest_size=4).hexdigest()
+    return blake2b(data.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
-def _ends(piece: str, share: int) -> bool:
-    return crc32(piece.strip().encode("utf-8", "surrogatepass")) % share == 0
+def _ends(piece: str) -> bool:
+    return crc32(piece.strip().encode("utf-8", "surrogatepass")) % SENTENCES == 0
+
+
+def _cut(sentence: str) -> Iterator[str]:
+    """Pieces of a long sentence, of SHORTEST_LEAF (but for the last) to LONGEST_LEAF
+    characters."""
+    codes = mix(np.frombuffer(sentence.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64))
+    rolled = codes.copy()
+    for _ in range(WINDOW - 1):
+        rolled[1:] = rolled[:-1] * _FACTOR + codes[1:]
+    at = 0
+    for end in np.flatnonzero((rolled >> np.uint64(40)) % np.uint64(CHARACTERS) == 0) + 1:
+        while end - at > LONGEST_LEAF:
+            yield sentence[at : at + LONGEST_LEAF]
+            at += LONGEST_LEAF
+        if end - at >= SHORTEST_LEAF:
+            yield sentence[at:end]
+            at = end
+    for start in range(at, len(sentence), LONGEST_LEAF):
+        yield sentence[start : start + LONGEST_LEAF]
 
 
 def _leaves(paragraph: str) -> Iterator[str]:
-    leaf: list[str] = []
+    leaf, size = [], 0
     for sentence in _SENTENCE.findall(paragraph):
-        long = sentence.count(" ") >= LONG_SENTENCE
-        for piece in _WORD.findall(sentence) or [sentence] if long else [sentence]:
-            leaf.append(piece)
-            if _ends(piece, WORDS if long else SENTENCES):
-                yield "".join(leaf)
-                leaf = []
+        long = len(sentence) > LONG_SENTENCE
+        if leaf and (long or size + len(sentence) > LONGEST_LEAF):
+            yield "".join(leaf)
+            leaf, size = [], 0
+        if long:
+            yield from _cut(sentence)
+            continue
+        leaf.append(sentence)
+        size += len(sentence)
+        if size >= SHORTEST_LEAF and _ends(sentence):
+            yield "".join(leaf)
+            leaf, size = [], 0
     if leaf:
         yield "".join(leaf)
 
@@ -63,8 +96,8 @@ def _node(children: list) -> Node:
 
 
 def tree(text: str) -> tuple[str, tuple[Node, ...]]:
-    """The root's hash, and the sections. Joined, the leaves give the text back, and the root
-    is a hash of the whole text too, so it does not depend on where text was cut."""
+    """The root's hash, and the sections. Joined, the leaves give the text back; where it is cut
+    depends on the text alone, so equal texts have equal trees."""
     sections: list[Node] = []
     paragraphs: list[Node] = []
     for line in text.splitlines(keepends=True):
@@ -74,16 +107,16 @@ def tree(text: str) -> tuple[str, tuple[Node, ...]]:
             paragraphs = []
     if paragraphs:
         sections.append(_node(paragraphs))
-    whole = sha256("".join(s[0] for s in sections).encode() + b"/" + text.encode("utf-8", "surrogatepass"))
-    return whole.hexdigest()[:32], tuple(sections)
+    return _hash("".join(s[0] for s in sections)), tuple(sections)
 
 
 def serialize(root: str, sections: tuple[Node, ...]) -> str:
     """`root|section;section`, a section being its paragraphs joined by `,` and a paragraph
-    its leaves, `hash:characters`, joined by `.`."""
+    its leaves, `hash:characters`, joined by `.`. Of leaves' hashes the first WRITTEN digits
+    are given."""
 
     def paragraph(node: Node) -> str:
-        return ".".join(f"{leaf[0]}:{leaf[1]}" for leaf in node[2])
+        return ".".join(f"{leaf[0][:WRITTEN]}:{leaf[1]}" for leaf in node[2])
 
     return f"{root}|" + ";".join(",".join(map(paragraph, section[2])) for section in sections)
 

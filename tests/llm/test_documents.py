@@ -262,6 +262,38 @@ def test_fingerprints(docs, nothing):
     assert fingerprints.fingerprint_edits(nothing).count() == 0
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "".join(chr(0x3042 + i * i * 7 % 83) for i in range(3200)),
+        "".join(chr(97 + i * i * 11 % 26 ^ i // 26 % 3) for i in range(5000)),
+        "x" * 5000,
+        "word " * 3000,
+        "ok. " * 3000,
+        " ".join(f"w{i * 7919 % 1000}" for i in range(1500)),
+        "".join(f"\u6587{i * 31 % 97}\u5b57\u3002" for i in range(800)),
+    ],
+)
+def test_texts_without_sentences_are_cut(text):
+    """Two thirds of these stay as they are, whatever their script, and with or without blanks."""
+    own = fingerprints.tree(text)
+    changed = fingerprints.tree(fingerprints.edited(text, "Another document altogether, told at length. " * 200))
+    leaves = [leaf for section in own[1] for paragraph in section[2] for leaf in paragraph[2]]
+    assert sum(leaf[1] for leaf in leaves) == len(text) and max(leaf[1] for leaf in leaves) <= fingerprints.LONGEST_LEAF
+    assert 0.5 < fingerprints.likeness(own, changed) < 0.7
+    written = [fingerprints.serialize(*one) for one in (own, changed)]
+    assert fingerprints.compare(*written) == pytest.approx(fingerprints.likeness(own, changed))
+    assert fingerprints.edits(*written)[-1][1] == len(text)
+
+
+def test_leaves_join_to_the_text():
+    random.seed(8)
+    for _ in range(300):
+        text = "".join(random.choices("ab .!?\n\r\u2028\u3002\U0001f600e\u0301", k=random.randint(0, 900)))
+        for line in text.splitlines(keepends=True):
+            assert "".join(fingerprints._leaves(line)) == line
+
+
 def test_edits_are_located():
     text = "".join(f"Line {i} has some words. It has more of them here.\n" for i in range(40))
     at = text.index("Line 20 has")
