@@ -7,9 +7,10 @@ documents come in order of size, the words taken differ from the target by about
 largest document at most, however many documents there are.
 
 A prefix sum of equal steps is a document's position times the step. Positions are found in
-two levels, so that a source with a third of all rows is not one task: documents fall into
-size classes and those into a fixed number of blocks; block counts are summed up per source
-(their number is bounded by the parameters), and rows are numbered within their block.
+three levels, so that neither a source with a third of all rows nor one whose texts are all
+of one length is one task: documents fall into size classes, and each class into as many
+blocks as its count asks for. Counts of blocks are summed up per class, those of classes per
+source, and rows are numbered within their block.
 """
 
 from __future__ import annotations
@@ -22,9 +23,8 @@ from pyspark.sql import functions as F
 
 from orestrata.sources.scratch import materialize
 
-# Size classes per doubling of the size, and blocks per class.
+# Size classes per doubling of the size.
 CLASSES = 8
-BLOCKS = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -32,11 +32,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 class Mix:
     """`weights` go to the sources by code point of their names, null last, and repeat.
     `share`: words of the mix over words of all sources. `ceiling`: times a source's words
-    that its target may reach."""
+    that its target may reach. `block`: rows that are numbered in one task, about."""
 
     weights: Sequence[int] = (3, 1, 2)
     share: float = 1.5
     ceiling: int = 2
+    block: int = 50_000
     seed: int = 11
 
 
@@ -79,7 +80,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), columns: Sequence[str] | None
     A null text has size 0; a null source is a source of its own, last by name; a null
     doc_id is a value like any other. Repeated rows are drawn one by one. A source without
     words has target 0 and gives no copies. Other columns are carried along in `row`. An
-    empty table gives an empty result. Writes block counts to the shared folder.
+    empty table gives an empty result. Writes sizes and counts to the shared folder.
     """
     kept = [F.col(c) for c in (docs.columns if columns is None else columns)]
     sized = docs.select(
@@ -90,28 +91,40 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), columns: Sequence[str] | None
         F.col("source").isNull().alias("unnamed"),
     )
     grade = F.coalesce(F.floor(F.log2(F.col("size") + 1) * CLASSES), F.lit(0)).cast("int")
-    block = F.coalesce(F.pmod("draw", F.lit(BLOCKS)), F.lit(0)).cast("int")
-    sized = sized.withColumns({"grade": grade, "block": block})
-    keys = ["name", "unnamed", "grade", "block"]
-    counts = sized.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
-    counts = materialize(counts, "mix")  # sources x classes x blocks rows at most
+    sized = sized.withColumn("grade", grade)
+    source_keys = ["name", "unnamed"]
+    classes_keys = [*source_keys, "grade"]
+    slim = materialize(sized.select(*classes_keys, "size", "draw"), "sizes")
+    classes = slim.groupBy(*classes_keys).agg(F.count(F.lit(1)).alias("class_rows"), F.sum("size").alias("words"))
+    classes = classes.withColumn("blocks", F.ceil(F.col("class_rows") / mix.block))
+    classes = materialize(classes, "classes")  # sources x size classes rows at most
 
     source = F.when(~F.col("unnamed"), F.col("name"))
-    targets = source_targets(counts.groupBy("name", "unnamed").agg(F.sum("words").alias("source_size")).withColumn("source", source), mix)
+    targets = source_targets(classes.groupBy(*source_keys).agg(F.sum("words").alias("source_size")).withColumn("source", source), mix)
     targets = targets.select(
         F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("unnamed"), "source_size", "target"
     )
-    earlier = Window.partitionBy("name", "unnamed").orderBy(F.desc("grade"), "block").rowsBetween(Window.unboundedPreceding, -1)
-    plan = counts.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n", "words")
-    plan = plan.join(targets, ["name", "unnamed"])
+    preceding = (Window.unboundedPreceding, -1)
+    larger = Window.partitionBy(*source_keys).orderBy(F.desc("grade")).rowsBetween(*preceding)
+    plan = classes.withColumn("class_start", F.coalesce(F.sum("class_rows").over(larger), F.lit(0)))
+    plan = plan.join(targets, source_keys).drop("class_rows", "words")
+
+    keys = [*classes_keys, "block"]
+    block = F.pmod("draw", F.col("blocks"))
+    counts = slim.join(classes.select(*classes_keys, "blocks"), classes_keys).withColumn("block", block)
+    counts = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*classes_keys).orderBy("block").rowsBetween(*preceding)
+    starts = counts.withColumn("block_start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    starts = materialize(starts, "starts")
 
     within = Window.partitionBy(*keys).orderBy(F.desc("size"), "draw")
-    placed = sized.join(plan, keys).withColumn("number", F.row_number().over(within))
+    placed = sized.join(plan, classes_keys).withColumn("block", block).join(starts, keys)
+    placed = placed.withColumn("number", F.row_number().over(within))
 
     step = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     random = F.xxhash64(F.lit(mix.seed), "name", "unnamed")
     offset = F.pmod(random, F.lit(1 << 40)) / F.lit(float(1 << 40))
-    last = F.col("start") + F.col("number")
+    last = F.col("class_start") + F.col("block_start") + F.col("number")
     crossed = F.floor(offset + step * last) - F.floor(offset + step * (last - 1))
     copies = F.least(crossed, F.lit(mix.ceiling)).cast("bigint")
     return placed.select("row", "size", "source_size", "target", copies.alias("copies")).withColumn(

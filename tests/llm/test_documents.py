@@ -225,6 +225,13 @@ def test_mix(docs, nothing):
         taken[r.source] += r.taken
     largest = max(r.size for r in got)
     assert all(abs(taken[s] - target[s]) <= 1.5 * largest for s in names)
+    # Blocks of a few rows: other documents, as near the targets.
+    small = mixing.mix_sources(docs, mixing.Mix(block=2)).select("row.source", "size", "copies", "taken").collect()
+    drawn = Counter()
+    for r in small:
+        assert r.taken == r.size * r.copies and 0 <= r.copies <= 2
+        drawn[r.source] += r.taken
+    assert len(small) == len(got) and all(abs(drawn[s] - target[s]) <= 1.5 * largest for s in names)
     again = mixing.mix_sources(docs.repartition(7)).select("row.doc_id", "row.source", "size", "source_size", "target", "copies", "taken")
     assert Counter(again.collect()) == Counter(got)
     mixed = mixing.emit_copies(mixing.mix_sources(docs))
@@ -232,6 +239,17 @@ def test_mix(docs, nothing):
     assert mixing.mix_sources(nothing).count() == 0
 
 
+def test_blocks_of_a_source_of_one_length(spark):
+    """Copies of a source whose texts are all as long come out to the one, in blocks of any size."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("three small words").alias("text"), F.lit("s").alias("source"))
+    docs = docs.unionAll(spark.range(9000, 9500).select("id", F.lit("a b"), F.lit(None).cast("string")))
+    for block in (7, 1000, 10**6):
+        mixed = mixing.mix_sources(docs, mixing.Mix(block=block))
+        for r in mixed.groupBy("row.source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+            assert abs(r.taken - r.target) <= 3
+        assert mixed.count() == 3500 and mixed.filter("copies NOT BETWEEN 0 AND 2").isEmpty()
+
+
 def test_quality(spark, docs, nothing):
     good = [(i, f"the cat sat on mat number {i % 7} and slept well", None) for i in range(200)]
     bad = [(1000 + i, f"BUY!! NOW!! {i % 5} $$$ CLICK!! HERE!!", None) for i in range(40)]
