@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by a forest of random-projection trees.
 
 Each tree splits a bounded sample of vectors again and again by the hyperplane between two
-random ones, down to leaves of a few sampled vectors. Every vector is filed in one leaf of
-each tree. A query walks all trees at once, through one priority queue of branches ordered
-by how far on the wrong side of the splits they lie, until the leaves it has opened hold
-enough vectors. The vectors of those leaves are reranked by exact cosine.
+random ones, moved to the middles of the two halves of a few members, down to leaves of a few
+sampled vectors. Every vector is filed in one leaf of each tree. A query walks all trees at
+once, through one priority queue of branches ordered by how far beyond the splits above them
+they lie, until the leaves it has opened hold enough vectors. The vectors of those leaves are
+reranked by exact cosine.
 
 Leaves meet their queries in blocks, so vectors travel once per tree and queries once per
 opened leaf; a leaf with very many vectors is dealt over several blocks.
@@ -30,14 +31,17 @@ from orestrata.sources.scratch import materialize
 class Settings:
     """`sample`: vectors the forest is fitted on at most; it bounds the forest, which goes to
     all tasks. `leaf`: sampled vectors per leaf at most. `search`: vectors that a query
-    looks at, times half the trees as the leaves of several trees overlap; `share`: the same
-    as a part of all vectors, if that is more. `block`: vectors of a leaf per task block."""
+    looks at, those in leaves of several trees counted in each; `share`: the same as a part
+    of all vectors, if that is more. `halving`: members that a split is fitted on, in
+    `rounds` rounds. `block`: vectors of a leaf per task block."""
 
-    trees: int = 8
+    trees: int = 16
     sample: int = 20_000
-    leaf: int = 64
-    search: int = 4_000
-    share: float = 0.2
+    leaf: int = 32
+    search: int = 6_000
+    share: float = 0.35
+    halving: int = 128
+    rounds: int = 3
     block: int = 5_000
     seed: int = 3
 
@@ -52,16 +56,28 @@ class Tree:
     children: np.ndarray
 
 
-def grow(sample: np.ndarray, leaf: int, random: np.random.Generator) -> Tree:
+def split(members: np.ndarray, rounds: int, random: np.random.Generator) -> tuple[np.ndarray, float]:
+    """A hyperplane (unit normal, offset) between the middles of two halves of the members."""
+    one, two = members[random.choice(len(members), 2, replace=False)]
+    for _ in range(rounds):
+        side = members @ (one - two) > (one - two) @ (one + two) / 2
+        if side.all() or not side.any():
+            break
+        one, two = members[side].mean(axis=0), members[~side].mean(axis=0)
+    normal = (one - two) / max(np.linalg.norm(one - two), 1e-300)
+    return normal, float(normal @ (one + two) / 2)
+
+
+def grow(sample: np.ndarray, settings: Settings, random: np.random.Generator) -> Tree:
     """A tree over unit vectors."""
     normals, offsets, children = [], [], []
     leaves = 0
 
     def place(members: np.ndarray) -> int:
         nonlocal leaves
-        if len(members) > leaf:
-            one, two = sample[random.choice(members, 2, replace=False)]
-            normal, offset = one - two, float((one - two) @ (one + two) / 2)
+        if len(members) > settings.leaf:
+            drawn = random.choice(members, min(len(members), settings.halving), replace=False)
+            normal, offset = split(sample[drawn], settings.rounds, random)
             side = sample[members] @ normal > offset
             if side.any() and not side.all():
                 number = len(normals)
@@ -92,12 +108,13 @@ def leaf_of(tree: Tree, vectors: np.ndarray) -> np.ndarray:
 
 
 def open_leaves(forest: list[Tree], sizes: list[dict[int, int]], vector: np.ndarray, search: int) -> Iterator[tuple[int, int]]:
-    """(tree, leaf) in the order of the shared queue, until they hold `search` vectors."""
+    """(tree, leaf) in the order of the shared queue, until they hold `search` vectors. A
+    branch comes by the sum of the squared distances to the splits that it lies beyond."""
     queue = [(0.0, t, 0) for t in range(len(forest))]
-    margins = [(tree.normals @ vector - tree.offsets) / np.maximum(np.linalg.norm(tree.normals, axis=1), 1e-300) for tree in forest]
+    margins = [tree.normals @ vector - tree.offsets for tree in forest]
     held = 0
     while queue and held < search:
-        worst, t, node = heappop(queue)
+        beyond, t, node = heappop(queue)
         if node < 0:
             size = sizes[t].get(node, 0)
             if size:
@@ -106,8 +123,8 @@ def open_leaves(forest: list[Tree], sizes: list[dict[int, int]], vector: np.ndar
             continue
         margin = float(margins[t][node])
         low, high = forest[t].children[node].tolist()
-        heappush(queue, (max(worst, margin), t, low))
-        heappush(queue, (max(worst, -margin), t, high))
+        heappush(queue, (beyond + max(margin, 0.0) ** 2, t, low))
+        heappush(queue, (beyond + max(-margin, 0.0) ** 2, t, high))
 
 
 def usable(vector: Column) -> Column:
@@ -256,13 +273,13 @@ def nearest(
     picked = stored.orderBy(F.xxhash64(F.lit(settings.seed), "id"), "id").limit(settings.sample).select("vector")
     sample = _unit(np.array([row.vector for row in picked.collect()]))
     random = np.random.default_rng(settings.seed)
-    forest = [grow(sample, settings.leaf, random) for _ in range(settings.trees)]
+    forest = [grow(sample, settings, random) for _ in range(settings.trees)]
     # One count per leaf, and the sample bounds the leaves.
     counts = stored.mapInArrow(_file(forest), "tree int, leaf bigint").groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).collect()
     sizes = [{row.leaf: row.n for row in counts if row.tree == t} for t in range(len(forest))]
     blocks = [{leaf: -(-n // settings.block) for leaf, n in tree.items()} for tree in sizes]
     total = sum(sizes[0].values())
-    search = max(settings.search, int(settings.share * total)) * settings.trees // 2
+    search = max(settings.search, int(settings.share * total))
 
     filed = stored.mapInArrow(_file(forest, blocks), _FILED + kind)
     queries = rows.filter("query").select("id", "vector")

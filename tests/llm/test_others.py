@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,41 @@ def test_recall(spark):
     assert len({(r.query_id, r.vec_id) for r in got} & want) >= 0.9 * len(want)
 
 
+def test_recall_where_the_forest_prunes(spark):
+    """Vectors in clusters: nine in ten neighbours are found by looking at a tenth of the rows."""
+    random = np.random.default_rng(5)
+    middles = random.normal(size=(800, 32))
+    vectors = (middles[random.integers(800, size=50_000)] + 0.5 * random.normal(size=(50_000, 32))).astype(np.float32)
+    unit = vectors.astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    df = spark.createDataFrame(
+        pd.DataFrame({"vec_id": range(len(vectors)), "embedding": vectors.tolist()}), "vec_id bigint, embedding array<float>"
+    )
+    settings = neighbours.Settings(trees=8, search=5_000, share=0.1)
+    got = neighbours.nearest(df, F.col("vec_id") % 250 == 0, settings=settings).collect()
+    want = set()
+    for at in range(0, len(unit), 250):
+        scores = unit @ unit[at]
+        scores[at] = -9
+        want |= {(at, int(i)) for i in np.argpartition(-scores, 5)[:5]}
+    assert len({(r.query_id, r.vec_id) for r in got} & want) >= 0.9 * len(want)
+
+
+def test_queries_look_at_as_much_as_they_are_told():
+    random = np.random.default_rng(6)
+    vectors = random.normal(size=(4000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    forest = [neighbours.grow(vectors, neighbours.Settings(), random) for _ in range(4)]
+    filed = [neighbours.leaf_of(tree, vectors) for tree in forest]
+    sizes = [{int(leaf): int((leaves == leaf).sum()) for leaf in set(leaves.tolist())} for leaves in filed]
+    assert max(max(tree.values()) for tree in sizes) <= neighbours.Settings().leaf
+    for at in range(0, 4000, 400):
+        opened = list(neighbours.open_leaves(forest, sizes, vectors[at], 400))
+        assert len(set(opened)) == len(opened) and 400 <= sum(sizes[t][leaf] for t, leaf in opened) < 400 + neighbours.Settings().leaf
+        # First of all its own leaf of each tree.
+        assert set(opened[:4]) == {(t, int(leaves[at])) for t, leaves in enumerate(filed)}
+
+
 def test_pipeline(spark):
     """Each stage works on what the one before it kept."""
     docs = queries.table(spark, SF_DIR, "documents")
