@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orestrata.sources.scratch import materialize
@@ -110,19 +110,24 @@ def _run_cells(cells: DataFrame, payloads: DataFrame, kernel: Kernel) -> DataFra
 def spanning_links(members: DataFrame, payloads: DataFrame, kernel: Kernel, cell_size: int) -> DataFrame:
     """Links that connect the members of each group as all its links would: a written table.
 
-    `members` has `group` and `id`, `payloads` one binary `payload` per `id`. `kernel`
-    takes the payloads of a cell and tells which members are linked with a given one.
+    `members` has `group`, `id` and `weight`, `payloads` one binary `payload` per `id`.
+    `kernel` takes the payloads of a cell and tells which members are linked with a given one.
 
-    A group of at most about `cell_size` members is one cell, searched whole. A larger one
-    is dealt over cells, each of which also gets the group's smallest member. Where that
-    leaves it in several components, every member outside its largest component meets every
-    other member, in cells of up to twice the size, so no link is lost.
+    A group of members that weigh at most about `cell_size` is one cell, searched whole. A
+    larger one is dealt over cells, each of which also gets the group's smallest member.
+    Where that leaves it in several components, every member outside its largest component
+    meets every other member, in cells of up to twice the size, so no link is lost.
     """
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub"))
-    sizes = sizes.filter("n > 1").withColumn("parts", F.ceil(F.col("n") / cell_size).cast("int"))
+
+    def cells_of(n: str, weight: str) -> Column:
+        return F.least(n, F.ceil(F.col(weight) / cell_size)).cast("int")
+
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("all"), F.min("id").alias("hub"))
+    sizes = sizes.filter("n > 1").withColumn("parts", cells_of("n", "all"))
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     placed = materialize(
-        members.join(sizes.select("group", "parts", "hub"), "group").select("group", "id", "hub", "parts", part.alias("part")), "cells"
+        members.join(sizes.select("group", "parts", "hub"), "group").select("group", "id", "weight", "hub", "parts", part.alias("part")),
+        "cells",
     )
     none = F.lit(0).alias("other")
     large = placed.filter("parts > 1")
@@ -135,11 +140,14 @@ def spanning_links(members: DataFrame, payloads: DataFrame, kernel: Kernel, cell
 
     component = F.coalesce("component", "id")
     known = large.join(components(links), "id", "left").withColumn("component", component)
-    counted = known.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
+    counted = known.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("all"))
+    order = F.struct("n", "component")
     open_groups = counted.groupBy("group").agg(
-        F.max_by("component", F.struct("n", "component")).alias("largest"), (F.sum("n") - F.max("n")).alias("apart")
+        F.max_by("component", order).alias("largest"),
+        (F.sum("n") - F.max("n")).alias("apart"),
+        (F.sum("all") - F.max_by("all", order)).alias("apart_weight"),
     ).filter("apart > 0")
-    known = known.join(open_groups, "group").withColumn("apart_parts", F.ceil(F.col("apart") / cell_size).cast("int"))
+    known = known.join(open_groups, "group").withColumn("apart_parts", cells_of("apart", "apart_weight"))
     everyone = known.select(
         "group", "part", F.explode(F.sequence(F.lit(0), F.col("apart_parts") - 1)).alias("other"), "id"
     )

@@ -2,7 +2,7 @@
 
 1. One pass over the texts: the set of shingles of each document, its SuperMinHash
    signature and the hashes of the signature's bands. Documents of equal sets are one
-   class from here on.
+   class from here on, as 128 bits of a hash of their sets tell.
 2. Classes that share a band are compared by their whole signatures; those whose estimated
    similarity may reach the threshold are linked into families.
 3. Within each family the full sets are compared, exactly. These links make the components.
@@ -28,9 +28,11 @@ from orestrata.llm.links import Kernel, components, spanning_links
 from orestrata.llm.words import WordHashes, mix, shingle_sets, word_slices
 from orestrata.sources.scratch import materialize
 
-# Members of a cell compared by signature (fixed size), and by set (of any size).
-SIGNATURE_CELL = 4096
-SET_CELL = 1024
+# Members of a cell compared by signature, all of one size; bytes of one compared by set, and
+# what a set counts for at least, which bounds the members too.
+SIGNATURE_CELL = 1024
+SET_CELL = 16 << 20
+LEAST_WEIGHT = 16 << 10
 # Signature places, rows of a band at most, and which share of the pairs at the threshold at
 # most may share no band, or have too low an estimate.
 PLACES = 192
@@ -122,11 +124,15 @@ def band_hashes(signatures: np.ndarray, banding: Banding) -> np.ndarray:
     return value
 
 
-def _set_id(elements: np.ndarray) -> int:
-    return int.from_bytes(blake2b(elements.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _set_id(elements: np.ndarray) -> tuple[int, int]:
+    """128 bits in two words."""
+    digest = blake2b(elements.tobytes(), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-_FEATURES = "doc_id bigint, text_hash bigint, n_shingles bigint, set_id bigint, bands array<bigint>, signature binary"
+_FEATURES = (
+    "doc_id bigint, text_hash bigint, n_shingles bigint, set_id bigint, set_check bigint, bands array<bigint>, signature binary"
+)
 
 
 def _featurize(length: int, banding: Banding):
@@ -143,28 +149,31 @@ def _featurize(length: int, banding: Banding):
         bands = band_hashes(signatures, banding).view(np.int64)
         short = signatures.astype(np.uint8)
         empty = sizes == 0
+        known = [_set_id(s) if len(s) else (None, None) for s in sets]
         columns = [
             own.column("doc_id").cast(pa.int64()),
             own.column("text_hash"),
             pa.array(sizes, pa.int64()),
-            pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
+            *[pa.array([pair[i] for pair in known], pa.int64()) for i in (0, 1)],
             pa.array([None if none else row for none, row in zip(empty, bands, strict=True)], pa.list_(pa.int64())),
             pa.array([None if none else row.tobytes() for none, row in zip(empty, short, strict=True)], pa.binary()),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "set_id", "bands", "signature"])
+        names = ["doc_id", "text_hash", "n_shingles", "set_id", "set_check", "bands", "signature"]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
 def _sets(length: int):
-    """The sets that were asked for: rows (id, text) -> (id, payload)."""
+    """The sets that were asked for: rows (id, set_id, set_check, text) -> (id, payload)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for first, words, counts in word_slices(batch.column("text"), hashes):
-                ids = batch.column("id").slice(first, len(counts)).to_pylist()
-                found = [(i, s.tobytes()) for i, s in zip(ids, shingle_sets(words, counts, length), strict=True) if _set_id(s) == i]
+                asked = [batch.column(name).slice(first, len(counts)).to_pylist() for name in ("id", "set_id", "set_check")]
+                rows = zip(*asked, shingle_sets(words, counts, length), strict=True)
+                found = [(i, s.tobytes()) for i, *pair, s in rows if _set_id(s) == tuple(pair)]
                 columns = [pa.array([i for i, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "payload"])
 
@@ -204,6 +213,15 @@ def by_set(percent: int) -> Kernel:
     return kernel
 
 
+def with_class_ids(features: DataFrame) -> DataFrame:
+    """`features` with the `id` of their class: the first word of the set's hash, or, where
+    sets share that and differ in the second word, a hash of both."""
+    words = features.groupBy("set_id").agg(F.min("set_check").alias("least"), F.max("set_check").alias("most"))
+    shared = materialize(words.filter("least <> most").select(F.col("set_id").alias("shared_id")), "shared")
+    both = F.when(F.col("shared_id").isNotNull(), F.xxhash64("set_id", "set_check")).otherwise(F.col("set_id"))
+    return features.join(shared, F.col("set_id") == F.col("shared_id"), "left").withColumn("id", both).drop("shared_id")
+
+
 def near_duplicates(
     docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, banding: Banding | None = None
 ) -> DataFrame:
@@ -224,27 +242,32 @@ def near_duplicates(
     banding = banding or banding_for(percent)
     slim = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     features = materialize(slim.mapInArrow(_featurize(shingle_words, banding), _FEATURES), "features")
-    known = features.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
-    classes = known.groupBy(F.col("set_id").alias("id")).agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("signature").alias("payload")
+    known = with_class_ids(features).filter("id IS NOT NULL AND doc_id IS NOT NULL")
+    classes = known.groupBy("id").agg(
+        *[F.min(c).alias(c) for c in ("doc_id", "n_shingles", "set_id", "set_check")],
+        F.first("bands").alias("bands"),
+        F.first("signature").alias("payload"),
     )
     classes = materialize(classes, "classes")
 
-    buckets = classes.select(F.explode("bands").alias("group"), "id")
+    buckets = classes.select(F.explode("bands").alias("group"), "id", F.lit(1).alias("weight"))
     similar = spanning_links(buckets, classes.select("id", "payload"), by_signature(least_estimate(percent, banding.places)), SIGNATURE_CELL)
     family = materialize(components(similar), "families")
     roots = family.select(F.col("component").alias("group"), F.col("component").alias("id")).distinct()
     members = family.select(F.col("component").alias("group"), "id").unionAll(roots)
+    members = members.join(classes.drop("bands", "payload"), "id")
+    members = materialize(members.withColumn("weight", F.greatest(8 * F.col("n_shingles"), F.lit(LEAST_WEIGHT))), "members")
 
-    wanted = members.join(classes.select("id", "doc_id"), "id").select("id", "doc_id")
-    sets = docs.select("doc_id", "text").join(wanted, "doc_id").select("id", "text")
+    wanted = members.select("id", "doc_id", "set_id", "set_check")
+    sets = docs.select("doc_id", "text").join(wanted, "doc_id").select("id", "set_id", "set_check", "text")
     sets = sets.mapInArrow(_sets(shingle_words), "id bigint, payload binary").dropDuplicates(["id"])
-    exact = components(spanning_links(members, sets, by_set(percent), SET_CELL))
+    exact = components(spanning_links(members.select("group", "id", "weight"), sets, by_set(percent), SET_CELL))
 
-    labels = classes.select("id", "doc_id").join(exact, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labels = classes.select("id", "doc_id", "set_id", "set_check").join(exact, "id", "left")
+    labels = labels.withColumn("component", F.coalesce("component", "id"))
     least_id = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = labels.join(least_id, "component").select(F.col("id").alias("set_id"), "component_id")
-    result = features.select("doc_id", "text_hash", "n_shingles", "set_id").join(named, "set_id", "left")
+    named = labels.join(least_id, "component").select("set_id", "set_check", "component_id")
+    result = features.select("doc_id", "text_hash", "n_shingles", "set_id", "set_check").join(named, ["set_id", "set_check"], "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
     return result.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))

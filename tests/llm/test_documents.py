@@ -69,8 +69,10 @@ def test_bands_miss_less_than_one_in_a_million(spark, monkeypatch):
         assert (1 - level**banding.rows) ** banding.bands + below < 1e-6
 
 
-def test_large_groups_lose_no_link(spark):
-    """Groups far larger than a cell: the links are those of comparing all pairs."""
+@pytest.mark.parametrize("weight", ["1", "1 + id % 13", "IF(id % 50 = 7, 40, 1)"])
+def test_large_groups_lose_no_link(spark, weight):
+    """Groups far larger than a cell, with members of equal and unequal weights, some heavier
+    than a cell: the links are those of comparing all pairs."""
     values = [(g, g * 1000 + i, bytes([(i * 37) % 250])) for g in range(2) for i in range(120)]
     rows = spark.createDataFrame(values, "group bigint, id bigint, payload binary")
 
@@ -78,7 +80,7 @@ def test_large_groups_lose_no_link(spark):
         numbers = [p[0] for p in payloads]
         return lambda one, others: abs(__import__("numpy").array([numbers[o] for o in others]) - numbers[one]) <= 1
 
-    found = links.spanning_links(rows.select("group", "id"), rows.select("id", "payload"), close, 16)
+    found = links.spanning_links(rows.select("group", "id", F.expr(weight).alias("weight")), rows.select("id", "payload"), close, 16)
     label = {r.id: r.component for r in links.components(found).collect()}
     for g in range(2):
         own = sorted((p[0], i) for gg, i, p in values if gg == g)
@@ -94,6 +96,40 @@ def test_large_groups_lose_no_link(spark):
             assert {label.get(i, i) for i in ids} == {min(ids)}
 
 
+def test_cells_are_bounded_by_weight(spark, monkeypatch):
+    """What a task compares at once weighs about a cell at most, however many bytes a member has."""
+    made = []
+    monkeypatch.setattr(links, "_run_cells", lambda cells, payloads, kernel: made.append(cells) or spark.createDataFrame([], links.LINKS))
+    members = spark.range(3000).select(F.lit(1).alias("group"), "id", F.when(F.col("id") < 100, 500).otherwise(1).alias("weight"))
+    links.spanning_links(members, None, None, 5000)
+    cells = made[0].join(members.select("id", "weight"), "id").groupBy("group", "part", "other").agg(F.sum("weight").alias("all"))
+    assert cells.count() == 11 and cells.agg(F.max("all")).first()[0] <= 2.5 * 5000
+
+
+def test_sets_of_equal_ids_are_told_apart(spark):
+    """Sets that agree in the first 64 bits of their hash only are not one class."""
+    rows = [(1, 10, 5), (2, 10, 6), (3, 10, 5), (4, 11, 5), (5, None, None)]
+    found = near_dedup.with_class_ids(spark.createDataFrame(rows, "doc_id bigint, set_id bigint, set_check bigint"))
+    ids = {r.doc_id: r.id for r in found.collect()}
+    assert len(ids) == 5 and ids[1] == ids[3] != ids[2] and ids[4] == 11 and ids[5] is None and len({*ids.values()}) == 4
+
+
+def test_near_copies_of_long_texts(spark):
+    """Sets that fill a cell with a few members are compared in several cells."""
+    random.seed(9)
+    words = [f"w{i}" for i in range(20_000)]
+    texts = []
+    for i in range(150):
+        changed = list(words)
+        for at in random.sample(range(20_000), 100):
+            changed[at] = f"x{i}"
+        texts.append(" ".join(changed))
+    texts += [" ".join(f"y{i}" for i in range(20_000)), texts[3]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, shingle_words=3, percent=85).collect()}
+    assert got == {i: 150 if i == 150 else 0 for i in range(152)}
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
