@@ -8,8 +8,8 @@ largest document at most, however many documents there are.
 
 A prefix sum of equal steps is a document's position times the step. Positions are found in
 three levels, so that neither a source with a third of all rows nor one whose texts are all
-of one length is one task: documents fall into size classes, and each class into as many
-blocks as its count asks for. Counts of blocks are summed up per class, those of classes per
+of one length is one task: documents fall into size classes, and classes into as many blocks
+as the count of the largest asks for. Counts of blocks are summed up per class, those of classes per
 source, and rows are numbered within their block.
 """
 
@@ -37,7 +37,7 @@ class Mix:
     weights: Sequence[int] = (3, 1, 2)
     share: float = 1.5
     ceiling: int = 2
-    block: int = 50_000
+    block: int = 100_000
     seed: int = 11
 
 
@@ -96,8 +96,9 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), columns: Sequence[str] | None
     classes_keys = [*source_keys, "grade"]
     slim = materialize(sized.select(*classes_keys, "size", "draw"), "sizes")
     classes = slim.groupBy(*classes_keys).agg(F.count(F.lit(1)).alias("class_rows"), F.sum("size").alias("words"))
-    classes = classes.withColumn("blocks", F.ceil(F.col("class_rows") / mix.block))
     classes = materialize(classes, "classes")  # sources x size classes rows at most
+    largest = classes.agg(F.max("class_rows")).first()[0] or 1
+    block = F.pmod("draw", F.lit(-(-largest // mix.block)))
 
     source = F.when(~F.col("unnamed"), F.col("name"))
     targets = source_targets(classes.groupBy(*source_keys).agg(F.sum("words").alias("source_size")).withColumn("source", source), mix)
@@ -110,16 +111,13 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), columns: Sequence[str] | None
     plan = plan.join(targets, source_keys).drop("class_rows", "words")
 
     keys = [*classes_keys, "block"]
-    block = F.pmod("draw", F.col("blocks"))
-    counts = slim.join(classes.select(*classes_keys, "blocks"), classes_keys).withColumn("block", block)
-    counts = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = slim.withColumn("block", block).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy(*classes_keys).orderBy("block").rowsBetween(*preceding)
     starts = counts.withColumn("block_start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
-    starts = materialize(starts, "starts")
+    starts = materialize(starts.join(plan, classes_keys), "starts")
 
     within = Window.partitionBy(*keys).orderBy(F.desc("size"), "draw")
-    placed = sized.join(plan, classes_keys).withColumn("block", block).join(starts, keys)
-    placed = placed.withColumn("number", F.row_number().over(within))
+    placed = sized.withColumn("block", block).join(starts, keys).withColumn("number", F.row_number().over(within))
 
     step = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     random = F.xxhash64(F.lit(mix.seed), "name", "unnamed")
