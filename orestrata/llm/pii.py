@@ -80,6 +80,8 @@ _NOT_NATIONAL = (
 CONTEXT = 32
 # Matches that are placed in one go: a fold copies the list that it adds to.
 SPAN_BLOCK = 256
+# Characters of a text that are cut from at once.
+CHUNK = 1024
 CLUES = {
     "email": r"(?i)e-?mail|contact|write|schreib|courriel|correo",
     "ip": r"(?i)\bip\b|address|server|host|adresse|servidor",
@@ -253,8 +255,90 @@ def features(kind: Column, value: Column, before: Column, after: Column) -> dict
     return {name: number.cast("double") for name, number in found.items()}
 
 
-def _overlap(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+def _given(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often it is used there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running_max(numbers: Column) -> Column:
+    """For each of an array of whole numbers the largest up to and with it.
+
+    In two levels, within blocks and over the largest of each block.
+    """
+    size = F.lit(SPAN_BLOCK)
+
+    def reached(v: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.greatest(F.lit(0), ((F.size(v) - 1) / size).cast("int")))
+        tops = F.transform(blocks, lambda b: F.array_max(F.slice(v, b * size + 1, size)))
+        return _given(tops, lambda t: F.transform(t, lambda _, b: F.array_max(F.slice(t, F.lit(1), b + 1))))
+
+    def whole(v: Column, tops: Column) -> Column:
+        def up_to(_: Column, i: Column) -> Column:
+            inside = F.array_max(F.slice(v, i - i % size + 1, i % size + 1))
+            return F.greatest(inside, F.get(tops, (i / size).cast("int") - 1))
+
+        return F.transform(v, up_to)
+
+    return _given(numbers, lambda v: _given(reached(v), lambda tops: whole(v, tops)))
+
+
+def _marked(candidates: Column, base: Column) -> Column:
+    """The candidates as (span, meets): whether one overlaps a base span.
+
+    In order of a candidate's end and a base span's start, the base spans that lie before a
+    candidate begin before its end; it overlaps one if the furthest of their ends is past its
+    start.
+    """
+
+    def event(at: Column, turn: int, reach: Column, start: Column, i: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(turn).alias("turn"), reach.alias("reach"), start.alias("start"), i.alias("i"))
+
+    def meeting(events: Column) -> Column:
+        def marked(reach: Column) -> Column:
+            every = F.transform(events, lambda e, i: F.struct(e["turn"].alias("turn"), e["i"].alias("i"), (F.get(reach, i) > e["start"]).alias("meets")))
+            return F.filter(every, lambda e: e["turn"] == 0)
+
+        return _given(running_max(F.transform(events, lambda e: e["reach"])), marked)
+
+    def spans(given: Column) -> Column:
+        ends = F.transform(given, lambda c, i: event(c["end"], 0, F.lit(0), c["start"], i))
+        starts = F.transform(base, lambda b, i: event(b["start"], 1, b["end"], b["start"], i))
+        found = _given(F.array_sort(F.concat(ends, starts)), meeting)
+        return F.transform(found, lambda m: F.struct(F.get(given, m["i"]).alias("span"), m["meets"].alias("meets")))
+
+    return _given(candidates, spans)
+
+
+def _best_apart(chosen: Column) -> Column:
+    """Of spans with a score, those that overlap no better one: a higher score, then the
+    earliest, then the smallest kind. Spans of one kind must not overlap each other.
+
+    In order of their starts a span overlaps an earlier one only if that one is the last of
+    its kind so far and ends later than the span starts, so the pairs to settle are few.
+    """
+    rank = lambda s: F.struct(-s["score"], s["start"], s["kind"])
+
+    def settled(ordered: Column) -> Column:
+        def worse(last: Sequence[Column]) -> Column:
+            def of_pair(s: Column, i: Column, before: Column) -> Column:
+                other = F.get(ordered, before)
+                loser = F.when(rank(other) < rank(s), i).otherwise(before)
+                return F.when((before >= 0) & (other["end"] > s["start"]), loser)
+
+            # The last of a kind before a span: up to the span before it.
+            pairs = lambda s, i: F.array(*[of_pair(s, i, F.get(k, i - 1)) for k in last])
+            return F.flatten(F.transform(ordered, pairs))
+
+        def last_of(kind: str) -> Column:
+            return running_max(F.transform(ordered, lambda s, i: F.when(s["kind"] == kind, i).otherwise(F.lit(-1))))
+
+        lasts = F.struct(*[last_of(k).alias(k) for k in KINDS])
+        losers = _given(lasts, lambda last: worse([last[k] for k in KINDS]))
+        stay = F.array_except(F.transform(ordered, lambda _, i: i), losers)
+        return F.transform(stay, lambda i: F.get(ordered, i))
+
+    by_start = F.array_sort(F.transform(chosen, lambda s: F.struct(s["start"].alias("start"), s.alias("span"))))
+    return _given(F.transform(by_start, lambda s: s["span"]), settled)
 
 
 def _spans_of(docs: DataFrame, carried: Column, name: str) -> DataFrame:
@@ -329,9 +413,14 @@ def _with_place(docs: DataFrame) -> DataFrame:
 def _labelled(docs: DataFrame) -> DataFrame:
     """One row per candidate of texts with a place: place, the span's columns, whether it is
     `plain`, as by the base rules, and its `label`."""
-    spans = _spans_of(docs, F.col("place"), "place").select("place", "base", F.explode("candidates").alias("c"))
-    base = F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & _overlap(b, F.col("c")))
-    plain = base | _plainly_valid(F.col("c"))
+    spans = _spans_of(docs, F.col("place"), "place")
+
+    def of_kind(group: str, kind: str) -> Column:
+        return F.filter(group, lambda s: s["kind"] == kind)
+
+    marked = F.concat(*[_marked(of_kind("candidates", k), of_kind("base", k)) for k in KINDS])
+    spans = spans.select("place", F.explode(marked).alias("m")).select("place", F.col("m.span").alias("c"), "m.meets")
+    plain = F.col("meets") | _plainly_valid(F.col("c"))
     return spans.select("place", "c.*", plain.alias("plain"), (plain | _valid_beyond_base(F.col("c"))).alias("label"))
 
 
@@ -422,7 +511,7 @@ def find_spans(docs: DataFrame, detector: Detector | None, carried: Column, name
     if detector is None:
         return rows.withColumn("base", base).withColumn("spans", F.col("base")).drop("candidates")
 
-    apart = F.filter("candidates", lambda c: ~F.exists("base", lambda b: _overlap(b, c)))
+    apart = F.transform(F.filter(_marked(F.col("candidates"), F.col("base")), lambda m: ~m["meets"]), lambda m: m["span"])
 
     def described(c: Column) -> Column:
         numbers = features(c["kind"], c["value"], c["before"], c["after"])
@@ -443,10 +532,7 @@ def find_spans(docs: DataFrame, detector: Detector | None, carried: Column, name
 
     chosen = F.filter(F.transform(F.transform(apart, described), scored), lambda c: c["score"] >= needed(c["kind"]))
     rows = rows.withColumn("base", base).withColumn("chosen", chosen)
-    # Of chosen spans that overlap, the one with the highest score stays, then the earliest.
-    better = lambda a, b: F.struct(-a["score"], a["start"], a["kind"]) < F.struct(-b["score"], b["start"], b["kind"])
-    alone = F.filter("chosen", lambda c: ~F.exists("chosen", lambda d: _overlap(d, c) & better(d, c)))
-    return rows.withColumn("spans", F.array_sort(F.concat("base", F.transform(alone, bare)))).drop("candidates", "chosen")
+    return rows.withColumn("spans", F.array_sort(F.concat("base", F.transform(_best_apart(F.col("chosen")), bare)))).drop("candidates", "chosen")
 
 
 def written(spans: Column) -> Column:
@@ -455,16 +541,28 @@ def written(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span, or run of overlapping spans, replaced by its first kind."""
+    """The text with each span, or run of overlapping spans, replaced by its first kind.
+
+    Pieces are cut from the few chunks that hold them, as every cut counts its way from the
+    start, and joined at once.
+    """
+
+    def between(chunks: Column, start: Column, end: Column) -> Column:
+        first, size = (start / CHUNK).cast("int"), F.lit(CHUNK)
+        held = F.slice(chunks, first + 1, (end / CHUNK).cast("int") - first + 1)
+        return F.substring(F.array_join(held, ""), start % size + 1, end - start)
+
+    def pieces(chunks: Column, reach: Column) -> Column:
+        def piece(span: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(reach, i - 1), F.lit(0))
+            mark = F.concat(between(chunks, at, span["start"]), F.lit("["), F.upper(span["kind"]), F.lit("]"))
+            return F.when(span["start"] >= at, mark).otherwise(F.lit(""))
 
-    def step(done: Column, span: Column) -> Column:
-        clear = F.substring(text, done["at"] + 1, span["start"] - done["at"])
-        more = F.concat(done["out"], clear, F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        out = F.when(span["start"] >= done["at"], more).otherwise(done["out"])
-        return F.struct(F.greatest(done["at"], span["end"]).alias("at"), out.alias("out"))
+        return F.concat(F.transform(spans, piece), F.array(between(chunks, F.array_max(reach), F.length(text))))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate(spans, start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    reach = running_max(F.transform(spans, lambda s: s["end"]))
+    whole = F.array_join(_given(chunks, lambda c: _given(reach, lambda r: pieces(c, r))), "")
     return F.when(F.size(spans) == 0, text).otherwise(whole)
 
 

@@ -472,3 +472,71 @@ def test_base_spans_of_long_runs_and_of_many_matches(spark):
     assert got[0] == [(1_000_001, 1_000_008), (1_000_009, 1_001_015)]
     for i, text in ((1, many), (2, odd)):
         assert got[i] == [m.span() for m in re.finditer(pattern, text)]
+
+
+def _random_spans(n, length, seed):
+    """Spans in which those of one kind do not overlap each other."""
+    random.seed(seed)
+    spans = []
+    for kind in pii.KINDS:
+        at = 0
+        for _ in range(n):
+            at += random.randint(0, max(1, length // n - 4))
+            end = at + random.randint(1, 12 if random.random() < 0.9 else 60)
+            spans.append((random.randint(0, 5) / 5, at, end, kind))
+            at = end
+    return spans
+
+
+def _overlapping(a, b):
+    return a[1] < b[2] and b[1] < a[2]
+
+
+def _redacted(text, spans):
+    out, at = [], 0
+    for _, start, end, kind in sorted(spans, key=lambda s: (s[1], pii.KINDS.index(s[3]))):
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+SPANS = "array<struct<score:double,start:int,end:int,kind:string>>"
+
+
+def test_overlaps_are_settled_as_by_brute_force(spark):
+    cases = [(_random_spans(n, n * 9, n), _random_spans(m, n * 9, n + 100)) for n, m in ((1, 0), (3, 2), (40, 40), (150, 9), (300, 300))]
+    cases += [([], []), ([], _random_spans(4, 40, 1))]
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(cases)], f"id int, a {SPANS}, b {SPANS}").repartition(2)
+    got = rows.select("id", pii._marked(F.col("a"), F.col("b")).alias("marked"), pii._best_apart(F.col("a")).alias("best"))
+    for r in got.collect():
+        a, b = cases[r.id]
+        assert sorted((tuple(m.span), m.meets) for m in r.marked) == sorted((s, any(_overlapping(s, o) for o in b)) for s in a)
+        rank = lambda s: (-s[0], s[1], s[3])
+        alone = [s for s in a if not any(_overlapping(s, o) and rank(o) < rank(s) for o in a)]
+        assert sorted(map(tuple, r.best)) == sorted(alone)
+
+
+@pytest.mark.parametrize("sign", ["x", "é\U0001f600\n"])
+def test_redacting_any_number_of_spans(spark, sign):
+    texts, lists = [], []
+    for n in (0, 1, 5, 300, 2000):
+        spans = sorted(_random_spans(n, n * 40, n), key=lambda s: (s[1], pii.KINDS.index(s[3])))
+        texts.append((sign * (max([s[2] for s in spans], default=0) + 1025))[: max([s[2] for s in spans], default=0) + n % 3 * 1024])
+        lists.append(spans)
+    rows = spark.createDataFrame(list(zip(texts, lists, strict=True)), f"text string, spans {SPANS}")
+    got = rows.select("text", pii.redacted(F.col("text"), F.col("spans")).alias("out")).collect()
+    assert [r.out for r in got] == [_redacted(t, s) for t, s in zip(texts, lists, strict=True)]
+
+
+def test_fifty_thousand_spans_take_seconds(spark):
+    text = "".join(chr(97 + i % 26) for i in range(1_000_000))
+    spans = sorted(_random_spans(12_500, 1_000_000, 3), key=lambda s: (s[1], pii.KINDS.index(s[3])))
+    spans = [s for s in spans if s[2] <= len(text)]
+    rows = spark.createDataFrame([(text, spans)], f"text string, spans {SPANS}")
+    start = time.perf_counter()
+    out = rows.select(pii.redacted(F.col("text"), F.col("spans"))).first()[0]
+    assert time.perf_counter() - start < 10 and out == _redacted(text, spans)
+    start = time.perf_counter()
+    best = rows.select(pii._best_apart(F.col("spans")).alias("best"), F.size(pii._marked(F.col("spans"), F.col("spans"))).alias("n")).first()
+    assert time.perf_counter() - start < 10 and best.n == len(spans) > len(best.best) > 0
