@@ -219,8 +219,7 @@ _CRC = """xor(list_reduce(
 
 
 def _general_sql() -> str:
-    words = "|".join(rule.name for rule in urls.GENERAL)
-    return f"regexp_matches(host || path, '(?:^|[^A-Za-z0-9])(?:{words})(?:$|[^A-Za-z0-9])')"
+    return " OR ".join(f"regexp_matches(host || path, '{rule.pattern}')" for rule in urls.GENERAL)
 
 
 def oracle_sql() -> dict[str, str]:
