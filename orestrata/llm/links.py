@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from orestrata.sources.scratch import materialize
 
 LINKS = "a bigint, b bigint"
+# Keys with more than this part of all rows are hot; there are fewer of them than this.
+HOT_PART = 1000
 
 # (payloads of a cell, index of one, indexes of others) -> which of them it is linked with
 Linked = Callable[[int, np.ndarray], np.ndarray]
@@ -29,12 +31,25 @@ def _written(pairs: DataFrame) -> tuple[DataFrame, dict]:
     return materialize(pairs.distinct().observe(seen, *marks), "links"), seen.get
 
 
+def _with_least(rows: DataFrame, least: DataFrame, key: str, most_rows: int) -> DataFrame:
+    """`rows` with the `m` of their key from `least`, which counts the rows `n` of each key.
+
+    Rows of hot keys stay where they are and meet their keys by a broadcast, fewer than
+    `HOT_PART` of them; the others are shuffled. `rows` has at most `most_rows` rows.
+    """
+    limit = F.lit(most_rows / HOT_PART)
+    hot = F.broadcast(least.filter(F.col("n") > limit).select(key, "m"))
+    others = rows.join(hot.select(key), key, "left_anti").join(least.filter(F.col("n") <= limit).select(key, "m"), key)
+    return rows.join(hot, key).unionByName(others)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Every linked id but the smallest of its component, with that smallest: id, component.
 
     `links` has the columns `a` and `b`, in either order. In turn, each id hands its larger
     neighbours, then all its smaller ones, to the smallest neighbour, until nothing
     changes; the rounds grow with the logarithm of the ids. Each round is a written table.
+    No id's links meet in one task, however many they are.
     """
     pairs = links.filter("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
     pairs, before = _written(pairs)
@@ -42,10 +57,13 @@ def components(links: DataFrame) -> DataFrame:
         both = pairs.select(F.col("high").alias("u"), F.col("low").alias("v")).unionAll(
             pairs.select(F.col("low").alias("u"), F.col("high").alias("v"))
         )
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("high"), F.col("m").alias("low")).distinct()
-        lowest = large.groupBy("high").agg(F.min("low").alias("m"))
-        small = large.join(lowest, "high").filter("low <> m").select(F.col("low").alias("high"), F.col("m").alias("low"))
+        count = F.count(F.lit(1)).alias("n")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), count)
+        large = _with_least(both.filter("v > u"), least, "u", 2 * before["n"])
+        large = large.select(F.col("v").alias("high"), F.col("m").alias("low")).distinct()
+        lowest = large.groupBy("high").agg(F.min("low").alias("m"), count)
+        small = _with_least(large, lowest, "high", before["n"]).filter("low <> m")
+        small = small.select(F.col("low").alias("high"), F.col("m").alias("low"))
         pairs, after = _written(small.unionAll(lowest.select("high", F.col("m").alias("low"))))
         if after == before:
             return pairs.select(F.col("high").alias("id"), F.col("low").alias("component"))

@@ -540,3 +540,35 @@ def test_fifty_thousand_spans_take_seconds(spark):
     start = time.perf_counter()
     best = rows.select(pii._best_apart(F.col("spans")).alias("best"), F.size(pii._marked(F.col("spans"), F.col("spans"))).alias("n")).first()
     assert time.perf_counter() - start < 10 and best.n == len(spans) > len(best.best) > 0
+
+
+@pytest.mark.parametrize("hot_part", [1, 10, 1000])
+def test_components_of_hubs(spark, monkeypatch, hot_part):
+    """Stars around their smallest, their largest and a middle id, a chain, and random links, by
+    a broadcast of all ids, some and none."""
+    monkeypatch.setattr(links, "HOT_PART", hot_part)
+    random.seed(hot_part)
+    pairs = [(0, i) for i in range(1, 400)] + [(2000, 1000 + i) for i in range(300)] + [(3100, 3000 + i) for i in range(200)]
+    pairs += [(4000 + i, 4001 + i) for i in range(60)] + [(5000 + random.randrange(200), 5000 + random.randrange(200)) for _ in range(120)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    rows = spark.createDataFrame(pairs * 2, links.LINKS).repartition(3)
+    got = {r.id: r.component for r in links.components(rows).collect()}
+    assert got == {x: find(x) for x in list(root) if find(x) != x}
+    assert links.components(rows.limit(0)).isEmpty()
+
+
+def test_rows_of_hot_keys_are_not_shuffled(spark):
+    rows = spark.range(1001).select(F.floor(F.col("id") / 1000).alias("u"), F.col("id").alias("v"))
+    least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    got = links._with_least(rows, least, "u", 1001)
+    assert got.count() == 1001 and got.filter("m <> u * 1000").isEmpty()
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2
