@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orestrata.sources.scratch import materialize
@@ -18,17 +18,56 @@ from orestrata.sources.scratch import materialize
 LINKS = "a bigint, b bigint"
 # Keys with more than this part of all rows are hot; there are fewer of them than this.
 HOT_PART = 1000
+# Links that a task joins into components at once, in memory.
+FOREST_LINKS = 1 << 20
 
 # (payloads of a cell, index of one, indexes of others) -> which of them it is linked with
 Linked = Callable[[int, np.ndarray], np.ndarray]
 Kernel = Callable[[list[bytes]], Linked]
 
 
-def _written(pairs: DataFrame) -> tuple[DataFrame, dict]:
-    """The pairs as a written table, and what tells them from other pairs."""
-    value, seen = F.xxhash64("high", "low"), Observation()
-    marks = [F.count(F.lit(1)).alias("n"), F.bit_xor(value).alias("x"), F.sum(F.pmod(value, F.lit(1 << 31))).alias("s")]
-    return materialize(pairs.distinct().observe(seen, *marks), "links"), seen.get
+def _forest(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each linked id but the smallest of its component, with that smallest, for these links."""
+    ids, flat = np.unique(np.concatenate([high, low]), return_inverse=True)
+    root = np.arange(len(ids))
+    one, other = np.split(flat, 2)
+    while len(one):
+        one, other = np.maximum(root[one], root[other]), np.minimum(root[one], root[other])
+        apart = one != other
+        one, other = one[apart], other[apart]
+        np.minimum.at(root, one, other)
+        while (root[root] != root).any():
+            root = root[root]
+    below = np.flatnonzero(root != np.arange(len(ids)))
+    return ids[below], ids[root[below]]
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (high, low) that connect what the given ones do, no more of them: those of every
+    `FOREST_LINKS` that lie together, each id with the smallest that they reach."""
+    held: list[pa.RecordBatch] = []
+
+    def forest() -> pa.RecordBatch:
+        ends = [np.concatenate([batch.column(i).to_numpy() for batch in held]) for i in (0, 1)]
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(end, pa.int64()) for end in _forest(*ends)], ["high", "low"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= FOREST_LINKS:
+            yield forest()
+    if held:
+        yield forest()
+
+
+def _settled(pairs: DataFrame) -> tuple[int, bool]:
+    """How many pairs there are, and whether they are stars: no id has two lower ends, or is
+    both the lower end of one pair and the higher end of another."""
+    ends = pairs.select(F.col("high").alias("id"), F.lit(1).alias("up")).unionAll(pairs.select("low", F.lit(0)))
+    ids = ends.groupBy("id").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    open_ids = F.count_if((F.col("ups") > 1) | (F.col("ups") > 0) & (F.col("least") == 0))
+    found = ids.agg(F.coalesce(F.sum("ups"), F.lit(0)), open_ids).first()
+    return found[0], not found[1]
 
 
 def _with_least(rows: DataFrame, least: DataFrame, key: str, most_rows: int) -> DataFrame:
@@ -46,28 +85,45 @@ def _with_least(rows: DataFrame, least: DataFrame, key: str, most_rows: int) ->
 def components(links: DataFrame) -> DataFrame:
     """Every linked id but the smallest of its component, with that smallest: id, component.
 
-    `links` has the columns `a` and `b`, in either order. In turn, each id hands its larger
-    neighbours, then all its smaller ones, to the smallest neighbour, until nothing
-    changes; the rounds grow with the logarithm of the ids. Each round is a written table.
-    No id's links meet in one task, however many they are.
+    `links` has the columns `a` and `b`, in either order, and is read twice. Tasks join about
+    `FOREST_LINKS` of them each, which is all where there are no more. Else that goes on as
+    long as it halves the links, and in turn each id hands its larger neighbours, then all
+    its smaller ones, to the smallest neighbour. Both keep what is connected and only ever
+    lower the ends of links, until each id is linked with its smallest only; the rounds grow
+    with the logarithm of the ids. Each round is a written table. No id's links meet in one
+    task, however many they are.
     """
     pairs = links.filter("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
-    pairs, before = _written(pairs)
-    while True:
-        both = pairs.select(F.col("high").alias("u"), F.col("low").alias("v")).unionAll(
-            pairs.select(F.col("low").alias("u"), F.col("high").alias("v"))
-        )
-        count = F.count(F.lit(1)).alias("n")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), count)
-        large = _with_least(both.filter("v > u"), least, "u", 2 * before["n"])
-        large = large.select(F.col("v").alias("high"), F.col("m").alias("low")).distinct()
-        lowest = large.groupBy("high").agg(F.min("low").alias("m"), count)
-        small = _with_least(large, lowest, "high", before["n"]).filter("low <> m")
-        small = small.select(F.col("low").alias("high"), F.col("m").alias("low"))
-        pairs, after = _written(small.unionAll(lowest.select("high", F.col("m").alias("low"))))
-        if after == before:
-            return pairs.select(F.col("high").alias("id"), F.col("low").alias("component"))
-        before = after
+    n, settled, before = pairs.count(), False, None
+    while not settled:
+        if before is not None and 2 * n > before:
+            pairs, before = _stars(pairs, n).distinct(), None
+        else:
+            tasks = max(1, -(-n // FOREST_LINKS))
+            pairs, before = pairs.coalesce(tasks).mapInArrow(_forests, "high bigint, low bigint"), n
+            if tasks == 1:
+                pairs = materialize(pairs, "links")
+                break
+            pairs = pairs.distinct()
+        pairs = materialize(pairs, "links")
+        n, settled = _settled(pairs)
+    return pairs.select(F.col("high").alias("id"), F.col("low").alias("component"))
+
+
+def _stars(pairs: DataFrame, n: int) -> DataFrame:
+    """The `n` pairs after each id has handed its larger neighbours, then all its smaller ones,
+    to the smallest neighbour."""
+    both = pairs.select(F.col("high").alias("u"), F.col("low").alias("v")).unionAll(
+        pairs.select(F.col("low").alias("u"), F.col("high").alias("v"))
+    )
+    count = F.count(F.lit(1)).alias("n")
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), count)
+    large = _with_least(both.filter("v > u"), least, "u", 2 * n)
+    large = large.select(F.col("v").alias("high"), F.col("m").alias("low")).distinct()
+    lowest = large.groupBy("high").agg(F.min("low").alias("m"), count)
+    small = _with_least(large, lowest, "high", n).filter("low <> m")
+    small = small.select(F.col("low").alias("high"), F.col("m").alias("low"))
+    return small.unionAll(lowest.select("high", F.col("m").alias("low")))
 
 
 def _spanning(size: int, linked: Linked) -> Iterator[tuple[int, int]]:
@@ -120,9 +176,10 @@ def _cell_links(kernel: Kernel):
 
 
 def _run_cells(cells: DataFrame, payloads: DataFrame, kernel: Kernel) -> DataFrame:
+    # In the order of ids, a member meets the same smallest one in each group that both are in.
     keys = ["group", "part", "other"]
     rows = cells.join(payloads, "id").select(*keys, "id", "payload")
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_cell_links(kernel), LINKS)
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(_cell_links(kernel), LINKS)
 
 
 def spanning_links(members: DataFrame, payloads: DataFrame, kernel: Kernel, cell_size: int) -> DataFrame:

@@ -38,6 +38,8 @@ LEAST_WEIGHT = 16 << 10
 PLACES = 192
 LONGEST_BAND = 6
 MISSES = 5e-7
+# Words of 64 bits that tell which texts may be wanted: a million texts set 6 % of the bits.
+FILTER_WORDS = 1 << 18
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _WORD = (1 << 64) - 1
@@ -222,6 +224,19 @@ def with_class_ids(features: DataFrame) -> DataFrame:
     return features.join(shared, F.col("set_id") == F.col("shared_id"), "left").withColumn("id", both).drop("shared_id")
 
 
+def may_have(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """`rows` without most of those whose key is not in `wanted`, and with all whose key is.
+
+    Each key sets one of 64 * `FILTER_WORDS` bits, which every task gets, so that rows need not
+    be shuffled to be told from the wanted ones. Where most bits are set, more rows pass.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
+    word, bit = F.shiftright(place, 6), F.pmod(place, F.lit(64)).cast("int")
+    bits = F.expr("bit_or(shiftleft(1L, bit))").alias("bits")
+    words = wanted.select(word.alias("word"), bit.alias("bit")).distinct().groupBy("word").agg(bits)
+    return rows.join(F.broadcast(words), (word == F.col("word")) & (F.getbit("bits", bit) == 1)).select(*rows.columns)
+
+
 def near_duplicates(
     docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, banding: Banding | None = None
 ) -> DataFrame:
@@ -259,7 +274,8 @@ def near_duplicates(
     members = materialize(members.withColumn("weight", F.greatest(8 * F.col("n_shingles"), F.lit(LEAST_WEIGHT))), "members")
 
     wanted = members.select("id", "doc_id", "set_id", "set_check")
-    sets = docs.select("doc_id", "text").join(wanted, "doc_id").select("id", "set_id", "set_check", "text")
+    texts = may_have(docs.select(F.col("doc_id").cast("bigint"), "text"), wanted, "doc_id")
+    sets = texts.join(wanted, "doc_id").select("id", "set_id", "set_check", "text")
     sets = sets.mapInArrow(_sets(shingle_words), "id bigint, payload binary").dropDuplicates(["id"])
     exact = components(spanning_links(members.select("group", "id", "weight"), sets, by_set(percent), SET_CELL))
 

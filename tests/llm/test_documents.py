@@ -572,3 +572,36 @@ def test_rows_of_hot_keys_are_not_shuffled(spark):
     got = links._with_least(rows, least, "u", 1001)
     assert got.count() == 1001 and got.filter("m <> u * 1000").isEmpty()
     assert got._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2
+
+
+def test_components_of_more_links_than_a_task_joins(spark, monkeypatch, conf):
+    """A task that may hold all links settles them alone; else rounds go on, by joins where tasks
+    that hold few links do not halve them."""
+    stars, made = [], links._stars
+    monkeypatch.setattr(links, "_stars", lambda pairs, n: stars.append(n) or made(pairs, n))
+    pairs = [(i, i + 1) for i in range(100)] + [(1000, 1001 + i) for i in range(150)] + [(2000 + i % 40, 2000 + i * 7 % 40) for i in range(300)]
+    rows = spark.createDataFrame(pairs, links.LINKS).repartition(5)
+    want = {i: i // 1000 * 1000 for i in [*range(1, 101), *range(1001, 1151)]}
+    found = {r.id: r.component for r in links.components(rows).collect()}
+    assert not stars and {i: c for i, c in found.items() if i < 2000} == want
+    monkeypatch.setattr(links, "FOREST_LINKS", 100)
+    conf({"spark.sql.execution.arrow.maxRecordsPerBatch": "100", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.maxPartitionBytes": "1k"})
+    conf({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    assert {r.id: r.component for r in links.components(rows).collect()} == found and stars
+
+
+def test_members_of_many_groups_share_their_smallest(spark):
+    """Members that share many groups are linked with few others, whatever order they come in."""
+    groups = spark.range(20).withColumnRenamed("id", "group")
+    members = groups.crossJoin(spark.range(200)).withColumn("weight", F.lit(1)).orderBy(F.rand(3))
+    payloads = spark.range(200).withColumn("payload", F.lit(b"x"))
+    found = links.spanning_links(members, payloads, lambda cell: lambda one, others: others >= 0, 64)
+    assert found.count() == 199 and found.filter("a <> 0").isEmpty()
+
+
+def test_texts_that_are_not_wanted_are_not_shuffled(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    wanted = rows.filter("doc_id % 100 = 7").select("doc_id", F.lit(1).alias("set_id"))
+    got = near_dedup.may_have(rows, wanted, "doc_id")
+    assert got.columns == rows.columns and got.count() < 400
+    assert got.join(wanted, "doc_id").count() == wanted.count()
