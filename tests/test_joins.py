@@ -88,3 +88,15 @@ def test_hot_key_is_split_over_tasks(spark, conf):
     joined.collect()
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_heads_without_details_are_found_without_sorts(spark, conf, rows):
+    """Ids of millions of heads share a task: beside their distinct table nothing is sorted."""
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    heads = spark.createDataFrame([(1, "a"), (2, "b"), (2, "bb"), (None, "c")], "k int, h string")
+    details = spark.createDataFrame([(1, 10), (1, 11), (1, 10), (None, 12)], "k int, d int")
+    joined = left_fan_out(heads, details, "k")
+    assert rows(joined) == [(None, "c", None), (1, "a", 10), (1, "a", 10), (1, "a", 11), (2, "b", None), (2, "bb", None)]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    anti = [line for line in plan.split("\n") if "LeftAnti" in line]
+    assert anti and all("ShuffledHashJoin" in line for line in anti)
