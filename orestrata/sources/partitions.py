@@ -1,10 +1,9 @@
 """Replacing rows of a stored table partition by partition.
 
-Only the partitions that hold an old or a new row of the replaced keys are written again, by
-dynamic partition overwrite; files of all others stay as they are. Spark replaces partitions
-one after the other, so a crash on the way could lose some. Their new rows are therefore
-written aside first, as a redo log beside the table: what a crash left there is applied before
-anything else is done.
+Only the partitions that hold an old or a new row of the replaced keys are written again;
+files of all others stay as they are. Their new folders are first written aside, as a redo log
+beside the table, and then moved into place one after the other: what a crash left in the log
+is moved before anything else is done.
 """
 
 from __future__ import annotations
@@ -12,12 +11,12 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orestrata.sources import paths
-from orestrata.sources.tables import table_path
+from orestrata.sources import paths, tables
 
 # The redo log; Spark's readers pass over names that begin with an underscore.
 LOG = "_replaced"
@@ -49,18 +48,34 @@ def _within(values: DataFrame, partition_by: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [among(c) for c in partition_by], F.lit(True))
 
 
+def _folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders below a path, `depth` levels of them, relative to it."""
+    found = [name for name in paths.children(spark, path) if "=" in name]
+    return found if depth == 1 else [f"{name}/{rest}" for name in found for rest in _folders(spark, f"{path}/{name}", depth - 1)]
+
+
+def _places(table: DataFrame, values: DataFrame, partition_by: Sequence[str]) -> dict[tuple, set[str]]:
+    """Folders of some partitions by their values, relative to the table. Spark gives paths as URLs."""
+    file = F.col("_metadata.file_path").alias("__file")
+    found: dict[tuple, set[str]] = {}
+    for row in table.filter(_within(values, partition_by)).select(*partition_by, file).distinct().collect():
+        folder = unquote("/".join(row["__file"].split("/")[:-1][-len(partition_by) :]))
+        found.setdefault(tuple(row[:-1]), set()).add(folder)
+    return found
+
+
 def finish_replacement(spark: SparkSession, path: str) -> bool:
     """Apply what an interrupted replacement has left in the log; whether there was anything."""
-    place = table_path(spark, path)
+    place = tables.table_path(spark, path)
     log = f"{place}/{LOG}"
     note = paths.read_text(spark, f"{log}/ready.json")
     if note is None:
         paths.remove(spark, log)  # written in part: nothing was replaced yet
         return False
     known = json.loads(note)
-    rows = spark.read.parquet(f"{log}/rows")
-    # A table without any row would tell dynamic overwrite nothing to replace.
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*known["partition_by"]).parquet(place)
+    for folder in _folders(spark, f"{log}/rows", len(known["partition_by"])):
+        paths.remove(spark, f"{place}/{folder}")
+        paths.move(spark, f"{log}/rows/{folder}", f"{place}/{folder}")
     for folder in known["emptied"]:
         paths.remove(spark, f"{place}/{folder}")
     paths.remove(spark, log)
@@ -79,18 +94,17 @@ def replace_keys(
     it again, also after a crash, gives the same table. One writer at a time.
     """
     finish_replacement(spark, path)
-    place = table_path(spark, path)
+    place = tables.table_path(spark, path)
     table = spark.read.parquet(place)
     keys = _prefixed(keys, key_columns)
     # Of the whole table, only keys and partition columns are read to find the old rows.
-    file = F.col("_metadata.file_path")
-    slim = table.select(*dict.fromkeys([*key_columns, *partition_by]), F.regexp_extract(file, "(.*)/", 1).alias("__folder"))
-    old = _matching(slim, keys, key_columns, "left_semi").select(*partition_by, "__folder").distinct().collect()
+    slim = table.select(*dict.fromkeys([*key_columns, *partition_by]))
+    old = _matching(slim, keys, key_columns, "left_semi").select(*partition_by).distinct().collect()
     rows = rows.select(*table.columns)
     new = rows.select(*partition_by).distinct().collect()
     if not old and not new:
         return 0
-    places = {tuple(row[:-1]) for row in old} | {tuple(row) for row in new}
+    places = {tuple(row) for row in [*old, *new]}
     schema = table.select(*partition_by).schema
     touched = spark.createDataFrame(sorted(places, key=str), schema)
 
@@ -98,10 +112,11 @@ def replace_keys(
     before = table.filter(_within(touched, partition_by))
     before = _matching(before, _prefixed(touched, partition_by), partition_by, "left_semi")
     after = _matching(before, keys, key_columns, "left_anti").unionByName(rows)
-    after.hint("rebalance", *partition_by).write.mode("overwrite").parquet(f"{log}/rows")
+    tables.write_table(after, f"{log}/rows", partition_by)
     left = {tuple(row) for row in spark.read.schema(after.schema).parquet(f"{log}/rows").select(*partition_by).distinct().collect()}
-    depth = len(partition_by)
-    emptied = sorted({"/".join(row["__folder"].split("/")[-depth:]) for row in old if tuple(row[:-1]) not in left})
+    gone = {tuple(row) for row in old} - left
+    found = _places(table, spark.createDataFrame(sorted(gone, key=str), schema), partition_by) if gone else {}
+    emptied = sorted({folder for place_of in gone for folder in found[place_of]})
     paths.write_text(spark, f"{log}/ready.json", json.dumps({"partition_by": list(partition_by), "emptied": emptied}))
     finish_replacement(spark, path)
     return len(places)

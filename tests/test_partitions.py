@@ -116,3 +116,29 @@ def test_only_keys_and_touched_partitions_are_scanned(spark, table):
     touched = spark.createDataFrame([("a", 0)], "label string, n int").select(*by)
     plan = found.filter(partitions._within(touched, by))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "label" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_files_of_the_log_are_moved_not_written_again(spark, table, monkeypatch):
+    path, by = table
+    logged = []
+    write = paths.write_text
+
+    def look(session, place, text):
+        if place.endswith("ready.json"):
+            found = paths.files_below(session, place.rsplit("/", 1)[0] + "/rows")
+            logged.extend((name.split("/rows/")[1], size, time) for name, size, time in found if name.endswith(".parquet"))
+        write(session, place, text)
+
+    monkeypatch.setattr(paths, "write_text", look)
+    updates = spark.createDataFrame([*UPDATES, (1, "leaves b", "z", 1)], SCHEMA)
+    upsert_table(spark, path, updates, ["id"], by)
+    place = tables.table_path(spark, path)
+    present = {name.split("/v-")[1].split("/", 1)[1]: (size, time) for name, size, time in paths.files_below(spark, place)}
+    assert logged and all(present.get(name) == (size, time) for name, size, time in logged)
+
+
+def test_a_place_with_a_slash_in_its_name_goes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.publish(spark.createDataFrame([(1, "x", "d/e f", 0), (2, "y", "a", 0)], SCHEMA), path, ["label"])
+    upsert_table(spark, path, spark.createDataFrame([(1, "x", "a", 1)], SCHEMA), ["id"], ["label"])
+    assert sorted(tuple(r) for r in tables.read_table(spark, path).select("id", "label").collect()) == [(1, "a"), (2, "a")]
