@@ -48,17 +48,27 @@ def clean_orders(orders: DataFrame, excluded: str = CANCELED) -> DataFrame:
     return as_timestamps(filled, [c for c in ORDER_TIMES if c in filled.columns])
 
 
-def denormalize(orders: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+def denormalize(
+    orders: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame, *, products_first: bool = False
+) -> DataFrame:
     """One row per order and item, or one per order without items; all columns kept.
 
     Products come last: a small product table is then broadcast instead of travelling with
     the items, and rows without a product, or with a hot one, are on the side that adaptive
     execution splits.
+
+    With `products_first` they are looked up for the items alone. For items that come in no
+    order, as after `drop_copies`: what travels by product is then narrow, and the rows of an
+    order stay together, in the written table as in aggregates over it.
     """
-    sales = left_fan_out(left_lookup(orders, customers, "customer_id"), items, "order_id")
     keys = ["product_id", "order_id", "customer_id"]
     columns = [c for df in (orders, customers, items, products) for c in df.columns if c not in keys]
-    return left_lookup(sales, products, "product_id").select(*keys, *columns)
+    people = left_lookup(orders, customers, "customer_id")
+    if products_first:
+        sales = left_fan_out(people, left_lookup(items, products, "product_id"), "order_id")
+    else:
+        sales = left_lookup(left_fan_out(people, items, "order_id"), products, "product_id")
+    return sales.select(*keys, *columns)
 
 
 def build_silver(
@@ -78,5 +88,5 @@ def build_silver(
     """
     if drop_duplicates:
         orders, customers, items, products = map(drop_copies, (orders, customers, items, products))
-    sales = denormalize(clean_orders(orders, excluded), customers, items, products)
+    sales = denormalize(clean_orders(orders, excluded), customers, items, products, products_first=drop_duplicates)
     return drop_null_keys(sales, required) if required else sales

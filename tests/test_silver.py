@@ -125,3 +125,26 @@ def test_delivery_of_another_type_is_filled(spark, rows):
     ).withColumn("order_status", F.lit("x"))
     cleaned = silver.clean_orders(orders)
     assert rows(cleaned, "order_id", F.to_date("order_delivered_customer_date").cast("string")) == [("1", None), ("2", "2018-01-04")]
+
+
+def test_deduplicated_items_meet_their_products_before_orders(spark, conf, rows):
+    """Only items travel by product, not whole sales: the join with products lies below that with items."""
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    orders = spark.createDataFrame(
+        [("o1", "c1", "ok"), ("o1", "c1", "ok"), ("o2", "c9", "ok"), ("o3", None, "ok"), (None, "c1", "ok"), ("o4", "c1", "canceled")],
+        "order_id string, customer_id string, order_status string",
+    ).withColumns({c: F.lit(None).cast("timestamp") for c in silver.ORDER_TIMES})
+    customers = spark.createDataFrame([("c1", "p1"), ("c1", "p2")], "customer_id string, customer_unique_id string")
+    items = spark.createDataFrame(
+        [("o1", "x1", 1), ("o1", "x1", 1), ("o1", "x2", 2), ("o1", None, 3), ("o3", "x9", 4), (None, "x1", 5), ("o4", "x1", 6)],
+        "order_id string, product_id string, price int",
+    )
+    products = spark.createDataFrame([("x1", "toys"), ("x1", "toys"), ("x1", "more"), (None, "none")], "product_id string, kind string")
+    got = silver.build_silver(orders, customers, items, products, drop_duplicates=True)
+    single = [df.distinct() for df in (orders, customers, items, products)]
+    want = silver.denormalize(silver.clean_orders(single[0]), *single[1:])
+    assert got.columns == want.columns and rows(got) == rows(want) and got.count() == 12
+    plan = got.select("kind", "price", "order_status")._jdf.queryExecution().executedPlan().toString()
+    joins = [(line.index("SortMergeJoin"), line) for line in plan.split("\n") if "SortMergeJoin" in line]
+    inner = min(depth for depth, line in joins if "Inner" in line)
+    assert all(depth > inner for depth, line in joins if "[product_id" in line)

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from orestrata.session import shuffle_partitions
-from orestrata.sources import files, scratch, tables
+from orestrata.sources import files, paths, scratch, tables
 from orestrata.sources.registry import DATASETS, Dataset, layer_path, only, with_files
 
 
@@ -231,3 +231,8 @@ def test_files_with_other_headers_are_refused(spark, tmp_path, how):
     _write(tmp_path, "b.csv", "y,x\n3,4\n")
     with pytest.raises(Exception, match="(?i)header"):
         files.read_csv(spark, str(tmp_path), **how).collect()
+
+
+def test_tables_are_packed_with_zstd(spark, tmp_path):
+    tables.publish(spark.range(10), str(tmp_path / "t"))
+    assert all(".zstd." in name for name, _, _ in paths.files_below(spark, tables.table_path(spark, str(tmp_path / "t"))) if name.endswith(".parquet"))
